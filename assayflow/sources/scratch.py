@@ -1,0 +1,23 @@
+"""Where a job may put intermediate files."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A new folder name under the shared folder the session names.
+
+    The cluster sets ``spark.checkpoint.dir``. Without it a local session uses a
+    temporary folder; on a cluster that would be unreachable for executors, so
+    there it is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
+        root = tempfile.mkdtemp(prefix="assayflow-")
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
