@@ -40,8 +40,8 @@ def _list_leaves(path: tuple[str, ...], items: Column, element: T.DataType, pres
     if isinstance(element, T.StructType):
         objects = F.filter(items, lambda x: x.isNotNull())
         for field in element.fields:
-            values = F.transform(objects, lambda x, name=field.name: x.getField(name))
-            yield from _list_leaves((*path, field.name), values, field.dataType, present)
+            # A field of a list of objects is the list of that field's values.
+            yield from _list_leaves((*path, field.name), objects.getField(field.name), field.dataType, present)
     elif isinstance(element, T.ArrayType):
         inner = F.flatten(F.filter(items, lambda x: x.isNotNull()))
         yield from _list_leaves(path, inner, element.elementType, present)

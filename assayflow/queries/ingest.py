@@ -1 +1,222 @@
-"""Queries."""
+"""Landing, flattening and raw tables."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from assayflow.operators.flatten import flatten
+from assayflow.operators.keys import batch_keys, composite_key, new_records, record_hash
+from assayflow.operators.schema import union_evolving
+from assayflow.queries.base import query, table
+from assayflow.sources.landing import (
+    EXPORT_PATTERN,
+    landed_files,
+    object_key,
+    read_landing,
+    stream_landing,
+    unprocessed_files,
+    with_source_file,
+    write_landing,
+)
+from assayflow.sources.raw import PARTITIONS, scan_raw, to_raw, write_raw
+from assayflow.sources.scratch import scratch_dir
+from assayflow.streaming.ingest import batch_name, start
+
+EVENT_DDL = "event_id bigint, ts string, user_id bigint, event_type string, value double, props struct<k: int>"
+RUN_DAY = date(2024, 2, 1)
+
+
+def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as nested records, with timestamps as text."""
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.col("ts").cast("string").alias("ts"),
+        "user_id",
+        "event_type",
+        "value",
+        F.from_json("props", "k int").alias("props"),
+        F.col("ts").cast("date").alias("run_date"),
+    )
+
+
+def land_events(spark: SparkSession, sf_dir: str, by_day: bool = False) -> str:
+    """Export all events as JSON array files and return their folder."""
+    path = scratch_dir(spark, "landing")
+    records = event_records(spark, sf_dir)
+    write_landing(records if by_day else records.drop("run_date"), path, ["run_date"] if by_day else [])
+    return path
+
+
+def event_schema() -> T.StructType:
+    return T.StructType.fromDDL(EVENT_DDL)
+
+
+def typed_ts(df: DataFrame) -> DataFrame:
+    return df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+FLAT_EVENTS = """
+select event_id, ts, user_id, event_type, value, cast(json_extract(props, '$.k') as int) as k from events"""
+
+
+@query(FLAT_EVENTS)
+def ingest_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = read_landing(spark, event_schema(), land_events(spark, sf_dir), EXPORT_PATTERN)
+    return typed_ts(flatten(landed))
+
+
+@query(f"""
+select event_id, true as has_file_name, true as key_ends_with_name, date '{RUN_DAY}' as ingest_date
+from events""")
+def ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = with_source_file(read_landing(spark, event_schema(), land_events(spark, sf_dir), EXPORT_PATTERN))
+    key = object_key(F.col("source_file_path"))
+    return landed.select(
+        "event_id",
+        (F.length("source_file_name") > 0).alias("has_file_name"),
+        key.endswith(F.col("source_file_name")).alias("key_ends_with_name"),
+        F.lit(RUN_DAY).alias("ingest_date"),
+    )
+
+
+@query("select *, cast(ts as date) as ingest_date from events")
+def raw_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "raw")
+    events = table(spark, sf_dir, "events")
+    tagged = events.withColumn("ingest_date", F.col("ts").cast("date"))
+    for _ in range(2):  # the second write of the same batch replaces the first
+        write_raw(tagged, path, "batch-1")
+    schema = T.StructType(events.schema.fields + PARTITIONS.fields)
+    return scan_raw(spark, path, schema).drop("source_batch")
+
+
+@query("""
+select o_orderkey, o_orderstatus, o_totalprice, null::varchar as o_orderpriority from orders
+where o_orderstatus = 'O'
+union all
+select o_orderkey, o_orderstatus, o_totalprice, o_orderpriority from orders where o_orderstatus <> 'O'""")
+def schema_evolution_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    older = orders.filter("o_orderstatus = 'O'").drop("o_orderpriority")
+    newer = orders.filter("o_orderstatus <> 'O'")
+    return union_evolving([older, newer], older.schema)
+
+
+@query("""
+select event_id, user_id, event_type, value, cast(json_extract(props, '$.k') as int) as k from events""")
+def flatten_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nested = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.struct("user_id").alias("who"),
+        F.struct("event_type", F.struct("value", F.from_json("props", "k int").alias("props")).alias("data")).alias("what"),
+    )
+    return flatten(nested)
+
+
+@query("""
+select event_id, case when event_type = 'signup' then value
+    else cast(json_extract(props, '$.k') as double) end as value
+from events""")
+def flatten_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    later = F.struct(F.from_json("props", "k double").getField("k").alias("value"))
+    record = table(spark, sf_dir, "events").select(
+        "event_id", "value", F.when(F.col("event_type") != "signup", later).alias("measured")
+    )
+    return flatten(record)
+
+
+@query("""
+select doc_id, coalesce(lines[-1], lang) as value, cast(nullif(len(lines), 0) as int) as position
+from (
+    select doc_id, lang, [x for x in string_split(text, chr(10)) if regexp_matches(x, '[0-9]')] as lines
+    from documents
+)""")
+def flatten_list_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with_digit = F.filter(F.split("text", "\n"), lambda x: x.rlike("[0-9]"))
+    numbered = F.transform(with_digit, lambda x, i: F.struct(x.alias("value"), (i + 1).alias("position")))
+    record = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("value"), numbered.alias("lines"))
+    return flatten(record)
+
+
+@query("""
+select o_orderkey, substring(sha256(to_json({
+        'o_custkey': o_custkey, 'o_orderkey': o_orderkey, 'o_orderpriority': o_orderpriority,
+        'o_orderstatus': case when o_orderstatus <> 'P' then o_orderstatus end})), 1, 12) as record_hash,
+    o_orderkey || '|' || o_custkey as composite_key
+from orders""", name="record_hash")
+def record_hash_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("o_orderstatus"),
+        "o_orderpriority",
+    )
+    return orders.select(
+        "o_orderkey",
+        record_hash(orders).alias("record_hash"),
+        composite_key(F.col("o_orderkey"), F.col("o_custkey")).alias("composite_key"),
+    )
+
+
+@query("""
+select distinct l_orderkey as id, l_returnflag as record_hash from lineitem
+where not exists (
+    select 1 from orders where o_orderkey = l_orderkey
+        and l_returnflag = case o_orderstatus when 'F' then 'R' when 'O' then 'N' else 'A' end)""")
+def new_records_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    incoming = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.col("l_returnflag").alias("record_hash")
+    )
+    status = F.col("o_orderstatus")
+    stored = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.when(status == "F", "R").when(status == "O", "N").otherwise("A").alias("record_hash"),
+    )
+    return new_records(incoming, stored)
+
+
+@query("""
+select source, doc_id // 1000 as batch, count(*) as n_files,
+    sha256(source || '|' || string_agg('doc-' || doc_id, '|' order by 'doc-' || doc_id)) as batch_key
+from documents group by source, doc_id // 1000""")
+def batch_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # One batch covers a thousand ids, so it never holds more than a thousand files.
+    files = table(spark, sf_dir, "documents").select(
+        "source",
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("path"),
+        F.floor(F.col("doc_id") / 1000).alias("batch"),
+    )
+    return batch_keys(files, "source", "path", ["batch"])
+
+
+def _stream_to_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing, raw = land_events(spark, sf_dir), scratch_dir(spark, "raw")
+    landed = stream_landing(spark, event_schema(), landing, 4, EXPORT_PATTERN)
+    rows = to_raw(landed).withColumn("ingest_date", F.lit(RUN_DAY))
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        write_raw(batch, raw, batch_name("events", batch_id))
+
+    start(rows, on_batch, scratch_dir(spark, "checkpoint"), once=True).awaitTermination()
+    return scan_raw(spark, raw, T.StructType(rows.schema.fields + PARTITIONS.fields[1:]))
+
+
+@query(FLAT_EVENTS)
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return typed_ts(_stream_to_raw(spark, sf_dir)).select("event_id", "ts", "user_id", "event_type", "value", "k")
+
+
+@query("select distinct cast(ts as date) as run_date from events where ts >= timestamp '2024-01-16'",
+       name="unprocessed_files")
+def unprocessed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = land_events(spark, sf_dir, by_day=True)
+    schema = event_schema().add("run_date", T.DateType())
+    landed = with_source_file(read_landing(spark, schema, landing, EXPORT_PATTERN))
+    processed = landed.filter(F.col("run_date") < F.lit("2024-01-16").cast("date"))
+    open_files = unprocessed_files(landed_files(spark, landing, EXPORT_PATTERN), processed)
+    day = F.regexp_extract("source_file_path", r"run_date=(\d{4}-\d{2}-\d{2})", 1).cast("date")
+    return open_files.select(day.alias("run_date")).distinct()

@@ -60,6 +60,10 @@ def _shipped() -> Column:
     return F.col("l_shipdate")
 
 
+def _month() -> Column:
+    return F.trunc(_shipped().cast("date"), "MM")
+
+
 def _is_f() -> Column:
     return F.col("l_linestatus") == "F"
 
@@ -98,7 +102,7 @@ def raw_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(_shipped()).alias("created_at"),
         F.when(_is_f(), _text(signed)).when(~_is_n(), "").alias("signed_at"),
         F.when(is_witnessed, _text(witnessed)).otherwise("").alias("witnessed_at"),
-        _shipped().cast("date").alias("ingest_date"),
+        _month().alias("ingest_date"),
     )
 
 
@@ -142,7 +146,7 @@ def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         only("PROMO", _id("CLN-", "p_partkey")).alias("antibody_clone_id"),
         only("PROMO", _quantity()).alias("antibody_binding_affinity_nm"),
         only("PROMO", F.col("p_size") > 25).alias("antibody_humanized"),
-        F.trunc(_shipped().cast("date"), "MM").alias("ingest_date"),
+        _month().alias("ingest_date"),
     )
 
 
@@ -164,7 +168,7 @@ def raw_stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_add(_shipped().cast("date"), _quantity().cast("int")).cast("string"))
         .alias("expiry_date"),
         _updated_at().alias("updated_at"),
-        F.trunc(_shipped().cast("date"), "MM").alias("ingest_date"),
+        _month().alias("ingest_date"),
     )
 
 
@@ -197,7 +201,7 @@ def raw_screening_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         (_line() * 24).alias("measurement_timepoint_hours"),
         _id("Instrument ", "l_suppkey").alias("instrument_name"),
         F.when(failed, "Fail").otherwise("Pass").alias("qc_flag"),
-        _shipped().cast("date").alias("ingest_date"),
+        _month().alias("ingest_date"),
     )
 
 
@@ -236,7 +240,7 @@ select 'EXP-' || l_orderkey as id, chr(9) || ' Order ' || l_orderkey || '  ' as
     case when l_linestatus = 'F' then cast({_SIGNED} as varchar)
         when l_returnflag <> 'N' then '' end as signed_at,
     case when {_IS_WITNESSED} then cast({_WITNESSED} as varchar) else '' end as witnessed_at,
-    cast(l_shipdate as date) as ingest_date
+    {_MONTH} as ingest_date
 from lineitem""",
     "raw_samples": f"""
 select 'SMP-' || p_partkey as id, chr(9) || p_name || ' ' || chr(10) as sample_name,
@@ -295,7 +299,7 @@ select 'RES-' || l_orderkey as result_id, 'MEA-' || l_orderkey || '-' || l_linen
     l_linenumber as replicate_number, 3 as replicates_expected,
     l_linenumber * 24 as measurement_timepoint_hours, 'Instrument ' || l_suppkey as instrument_name,
     case when l_returnflag = 'R' and l_linestatus <> 'F' then 'Fail' else 'Pass' end as qc_flag,
-    cast(l_shipdate as date) as ingest_date
+    {_MONTH} as ingest_date
 from lineitem""",
 }
 

@@ -12,7 +12,7 @@ from assayflow.sources.landing import METADATA_COLUMNS, read_landing, with_sourc
 from assayflow.sources.registry import Dataset
 from assayflow.operators.keys import batch_key
 
-PARTITIONS = T.StructType.fromDDL("ingest_date date, source_batch string")
+PARTITIONS = T.StructType([T.StructField("ingest_date", T.DateType()), T.StructField("source_batch", T.StringType())])
 
 
 def to_raw(landed: DataFrame, on_collision: str = "last_wins", arrays: str = "last_element") -> DataFrame:
