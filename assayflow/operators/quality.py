@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from assayflow.functions import calendar_days
 from assayflow.operators.joins import orphans
 
-RESULT_COLUMNS = ("table", "column", "check", "failures", "status")
 KINDS = ("not_null", "unique", "accepted_values", "relationships", "expression")
 
 
@@ -43,28 +42,36 @@ class Check:
             raise ValueError(f"unknown check {self.kind!r}")
 
 
-def _violations(check: Check) -> Column:
-    """1 for a failing row of a check that looks at one row at a time."""
+def _finding(check: Check) -> Column:
+    """The value a row contributes to a check, as ``(value)``; NULL if it contributes none."""
+    value = F.col(check.column)
     if check.kind == "not_null":
-        return F.col(check.column).isNull()
-    return ~F.expr(check.expression)
+        return F.when(value.isNull(), F.struct(F.lit(None).cast("string").alias("value")))
+    if check.kind == "expression":
+        return F.when(~F.expr(check.expression), F.struct(F.lit(None).cast("string").alias("value")))
+    counts = value.isNotNull() if check.kind == "unique" else ~value.isin(*check.values)
+    return F.when(counts, F.struct(value.cast("string").alias("value")))
 
 
-def row_check_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Failures of all row checks of one table, from one aggregation."""
-    counts = df.agg(*(F.count_if(_violations(c)).alias(f"c{i}") for i, c in enumerate(checks)))
-    labelled = F.array(
+def findings(df: DataFrame, checks: Mapping[int, Check]) -> DataFrame:
+    """Rows ``(check_id, value, n_rows)`` for all checks of one table, from one pass over it.
+
+    A row that breaks nothing leaves only the values of unique columns.
+    """
+    found = F.array(
         *(
-            F.struct(
-                F.lit(c.table).alias("table"),
-                F.lit(c.column).alias("column"),
-                F.lit(c.kind).alias("check"),
-                F.col(f"c{i}").alias("failures"),
-            )
-            for i, c in enumerate(checks)
+            F.when(f.isNotNull(), F.struct(F.lit(i).alias("check_id"), f.getField("value").alias("value")))
+            for i, f in ((i, _finding(c)) for i, c in checks.items())
         )
     )
-    return counts.select(F.inline(labelled))
+    kept = F.filter(found, lambda x: x.isNotNull())
+    return df.select(F.inline(kept)).withColumn("n_rows", F.lit(1).cast("bigint"))
+
+
+def _orphan_findings(check_id: int, check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
+    lost = orphans(tables[check.table], [check.column], tables[check.parent], [check.parent_column])
+    value = F.col(check.column).cast("string").alias("value")
+    return lost.select(F.lit(check_id).alias("check_id"), value, "n_rows")
 
 
 def repeated_values(df: DataFrame, *columns: str) -> DataFrame:
@@ -79,35 +86,42 @@ def unaccepted_values(df: DataFrame, column: str, values: Iterable[str]) -> Data
     return df.filter(~F.col(column).isin(*values)).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _group_check(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
-    df = tables[check.table]
-    if check.kind == "unique":
-        failures = repeated_values(df, check.column).agg(F.count(F.lit(1)).alias("failures"))
-    elif check.kind == "accepted_values":
-        failures = unaccepted_values(df, check.column, check.values).agg(F.count(F.lit(1)).alias("failures"))
-    else:
-        lost = orphans(df, [check.column], tables[check.parent], [check.parent_column])
-        failures = lost.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("failures"))
-    return failures.select(
-        F.lit(check.table).alias("table"),
-        F.lit(check.column).alias("column"),
-        F.lit(check.kind).alias("check"),
-        "failures",
-    )
-
-
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """One row per check: table, column, check, failures, status. Lazy, one job."""
-    row_checks: dict[str, list[Check]] = {}
-    parts = []
-    for check in checks:
-        if check.kind in ("not_null", "expression"):
-            row_checks.setdefault(check.table, []).append(check)
-        else:
-            parts.append(_group_check(check, tables))
-    parts += [row_check_counts(tables[name], group) for name, group in row_checks.items()]
-    results = reduce(DataFrame.unionByName, parts)
-    return results.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    """One row per check: table, column, check, failures, status. Lazy, one job.
+
+    Each table is read once for all its checks, and once more per relationship.
+    Findings are counted per check and value with a map-side combine; the
+    first count removes any hot value before the second.
+    """
+    numbered = dict(enumerate(checks))
+    spark = next(iter(tables.values())).sparkSession
+    specs = spark.createDataFrame(
+        [(i, c.table, c.column, c.kind) for i, c in numbered.items()],
+        "check_id int, table string, column string, check string",
+    )
+    parts = [_orphan_findings(i, c, tables) for i, c in numbered.items() if c.kind == "relationships"]
+    for name in dict.fromkeys(c.table for c in numbered.values()):
+        own = {i: c for i, c in numbered.items() if c.table == name and c.kind != "relationships"}
+        if own:
+            parts.append(findings(tables[name], own))
+    per_value = reduce(DataFrame.unionByName, parts).groupBy("check_id", "value").agg(F.sum("n_rows").alias("n"))
+    per_check = per_value.groupBy("check_id").agg(
+        F.sum("n").alias("n_rows"), F.count("value").alias("n_values"), F.count_if(F.col("n") > 1).alias("n_repeated")
+    )
+    failures = (
+        F.when(F.col("check") == "unique", F.col("n_repeated"))
+        .when(F.col("check") == "accepted_values", F.col("n_values"))
+        .otherwise(F.col("n_rows"))
+    )
+    # One row per check at most, so the broadcast is bounded by the number of checks.
+    counted = specs.join(F.broadcast(per_check), "check_id", "left")
+    return counted.select(
+        "table",
+        "column",
+        "check",
+        F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"),
+        F.when(F.coalesce(failures, F.lit(0)) == 0, "pass").otherwise("fail").alias("status"),
+    )
 
 
 def freshness(

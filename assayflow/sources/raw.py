@@ -31,12 +31,17 @@ def raw_schema(spark: SparkSession, ds: Dataset, arrays: str) -> T.StructType:
     return T.StructType(schema.fields + PARTITIONS.fields)
 
 
-def write_raw(df: DataFrame, path: str, batch: str) -> None:
+def write_raw(df: DataFrame, path: str, batch: str, spread_by: str | None = None) -> None:
     """Add one batch. Writing the same batch again replaces it instead of doubling it.
 
-    Only the (day, batch) partitions present in ``df`` are overwritten.
+    Only the (day, batch) partitions present in ``df`` are overwritten. An ordinary
+    batch has one day and is written where it was read. For a load of many
+    days name a column in ``spread_by``: rows are then ranged by day and that
+    column, so that a task writes few days and a big day is shared by several tasks.
     """
     tagged = df.withColumn("source_batch", F.lit(batch))
+    if spread_by:
+        tagged = tagged.repartitionByRange("ingest_date", spread_by)
     writer = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*PARTITIONS.fieldNames()).parquet(path)
 
