@@ -214,9 +214,8 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
        name="unprocessed_files")
 def unprocessed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = land_events(spark, sf_dir, by_day=True)
-    schema = event_schema().add("run_date", T.DateType())
-    landed = with_source_file(read_landing(spark, schema, landing, EXPORT_PATTERN))
-    processed = landed.filter(F.col("run_date") < F.lit("2024-01-16").cast("date"))
-    open_files = unprocessed_files(landed_files(spark, landing, EXPORT_PATTERN), processed)
     day = F.regexp_extract("source_file_path", r"run_date=(\d{4}-\d{2}-\d{2})", 1).cast("date")
+    landed = with_source_file(read_landing(spark, event_schema(), landing, EXPORT_PATTERN))
+    processed = landed.filter(day < F.lit("2024-01-16").cast("date"))
+    open_files = unprocessed_files(landed_files(spark, landing, EXPORT_PATTERN), processed)
     return open_files.select(day.alias("run_date")).distinct()

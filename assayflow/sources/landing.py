@@ -26,6 +26,12 @@ def object_key(path: Column) -> Column:
     return F.regexp_replace(path, "^[A-Za-z0-9]+://[^/]*/", "")
 
 
+def _options(pattern: str) -> dict:
+    # Recursive lookup also keeps folder names such as run_date=... from becoming columns,
+    # which would replace the field of that name inside the records.
+    return {"multiLine": True, "pathGlobFilter": pattern, "recursiveFileLookup": True}
+
+
 def read_landing(
     spark: SparkSession, schema: T.StructType, paths: str | Sequence[str], pattern: str = FILE_PATTERN
 ) -> DataFrame:
@@ -34,7 +40,7 @@ def read_landing(
     All paths go into one read, hence one job. A file is parsed by one task,
     so land many moderate files rather than one huge one.
     """
-    reader = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", pattern)
+    reader = spark.read.schema(schema).options(**_options(pattern))
     return reader.json(paths if isinstance(paths, str) else list(paths))
 
 
@@ -46,7 +52,7 @@ def stream_landing(
     pattern: str = FILE_PATTERN,
 ) -> DataFrame:
     """The same as a stream: each new file is read once, known files come from the checkpoint."""
-    reader = spark.readStream.schema(schema).option("multiLine", True).option("pathGlobFilter", pattern)
+    reader = spark.readStream.schema(schema).options(**_options(pattern))
     return reader.option("maxFilesPerTrigger", max_files_per_trigger).json(path)
 
 
@@ -76,7 +82,12 @@ def write_landing(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 def landed_files(spark: SparkSession, path: str, pattern: str = FILE_PATTERN) -> DataFrame:
     """One row per landed file, without reading its content."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
-    return files.load(path).select(F.col("path").alias("source_file_path"), "length", "modificationTime")
+    meta = F.col("_metadata")
+    return files.load(path).select(
+        meta["file_path"].alias("source_file_path"),
+        meta["file_size"].alias("length"),
+        meta["file_modification_time"].alias("modified_at"),
+    )
 
 
 def unprocessed_files(listing: DataFrame, processed: DataFrame) -> DataFrame:

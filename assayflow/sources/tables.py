@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 from assayflow.operators.incremental import DuplicateKeyError, any_null, upsert
 
 BUCKET = "key_bucket"
-BROADCAST_KEY_LIMIT = 500_000
+BROADCAST_LIMIT = 32 * 1024 * 1024  # bytes of keys
+ROW_OVERHEAD = 64  # bytes assumed per broadcast key on top of its text
 
 
 class Table:
@@ -34,13 +35,13 @@ class Table:
         path: str,
         keys: Sequence[str] = (),
         buckets: int = 8,
-        broadcast_key_limit: int = BROADCAST_KEY_LIMIT,
+        broadcast_limit: int = BROADCAST_LIMIT,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.buckets = buckets
-        self.broadcast_key_limit = broadcast_key_limit
+        self.broadcast_limit = broadcast_limit
 
     # -- which version of each bucket is current ------------------------------------
 
@@ -119,23 +120,26 @@ class Table:
         return [int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")]
 
     def _stage(self, updates: DataFrame, version: int, path: str) -> tuple[DataFrame, dict[int, int]]:
-        """Write the update set once, then count keys per bucket and reject repeated ones."""
+        """Write the update set once; then reject repeated keys and return the key bytes per bucket."""
         tagged = updates.withColumn(BUCKET, self._bucket(updates))
-        tagged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        # Rebalancing groups rows by bucket and splits a bucket that is too big for one task.
+        tagged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
         staged = self.spark.read.schema(tagged.schema).parquet(path)
         per_key = staged.groupBy(BUCKET, *self.keys).agg(F.count(F.lit(1)).alias("n"))
         repeated = F.count_if((F.col("n") > 1) & ~any_null(self.keys)).alias("repeated")
-        stats = per_key.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n_keys"), repeated).collect()
+        text = F.octet_length(F.concat_ws("", *(F.col(k).cast("string") for k in self.keys)))
+        size = F.sum(text + ROW_OVERHEAD).alias("key_bytes")
+        stats = per_key.groupBy(BUCKET).agg(size, repeated).collect()  # one row per bucket
         if any(row.repeated for row in stats):
             raise DuplicateKeyError(f"{self.path}: update set repeats {sum(r.repeated for r in stats)} keys")
-        return staged, {row[BUCKET]: row.n_keys for row in stats}
+        return staged, {row[BUCKET]: row.key_bytes for row in stats}
 
     def merge(self, updates: DataFrame) -> None:
         """Replace matching keys, insert the rest, delete nothing.
 
-        Few update keys are broadcast, so the stored rows are scanned and written
-        without a shuffle; how many there are was counted first. Otherwise stored and
-        new rows meet in one shuffle by bucket, which is also the layout written.
+        Update keys whose measured size is small are broadcast, so the stored rows are
+        scanned and written without a shuffle. Otherwise stored and new rows meet
+        in one shuffle by bucket, which is also the layout written.
         """
         version = self._next_version()
         if version == 1:
@@ -151,7 +155,7 @@ class Table:
             # Files of a data folder carry the bucket in their path only.
             stored = self._read(schema, touched)
             stored = stored.withColumn(BUCKET, self._bucket(stored))
-            if sum(keys.values()) <= self.broadcast_key_limit:
+            if sum(keys.values()) <= self.broadcast_limit:
                 merged = upsert(stored, staged, self.keys, broadcast_keys=True)
             else:
                 merged = self._merge_by_bucket(stored, staged)

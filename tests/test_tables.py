@@ -9,9 +9,9 @@ def rows(df):
     return sorted(map(tuple, df.collect()), key=str)
 
 
-@pytest.mark.parametrize("limit", [0, 1000], ids=["shuffled", "broadcast"])
+@pytest.mark.parametrize("limit", [0, 100_000], ids=["shuffled", "broadcast"])
 def test_merge_replaces_inserts_and_keeps(spark, tmp_path, limit):
-    table = Table(spark, f"{tmp_path}/t", ["k"], buckets=4, broadcast_key_limit=limit)
+    table = Table(spark, f"{tmp_path}/t", ["k"], buckets=4, broadcast_limit=limit)
     table.merge(spark.range(20).select(F.col("id").alias("k"), F.lit("old").alias("v")))
     table.merge(spark.createDataFrame([(3, "new"), (50, "new"), (None, "n1")], "k bigint, v string"))
     table.merge(spark.createDataFrame([(None, "n2")], "k bigint, v string"))
