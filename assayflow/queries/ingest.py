@@ -23,7 +23,7 @@ from assayflow.sources.landing import (
     write_landing,
 )
 from assayflow.sources.raw import PARTITIONS, scan_raw, to_raw, write_raw
-from assayflow.sources.scratch import scratch_dir
+from assayflow.sources.paths import scratch_dir
 from assayflow.streaming.ingest import batch_name, start
 
 EVENT_DDL = "event_id bigint, ts string, user_id bigint, event_type string, value double, props struct<k: int>"

@@ -3,7 +3,8 @@
 An order stands for an experiment and for a result, each line of it for a landed version of
 the record; a part stands for a sample, whose type follows the part type; a part
 and line number stand for a stock. All lines are used. Text columns are text, as
-landed. Every frame has the same rows as the SQL of the same name in ``RAW``.
+landed. Lines of one year count as loaded on one day. Every frame has the same
+rows as the SQL of the same name in ``RAW``.
 """
 
 from __future__ import annotations
@@ -60,8 +61,8 @@ def _shipped() -> Column:
     return F.col("l_shipdate")
 
 
-def _month() -> Column:
-    return F.trunc(_shipped().cast("date"), "MM")
+def _load_day() -> Column:
+    return F.trunc(_shipped().cast("date"), "YEAR")
 
 
 def _is_f() -> Column:
@@ -91,7 +92,7 @@ def raw_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         _id("EXP-", "l_orderkey").alias("id"),
         F.concat(F.lit("\t Order "), F.col("l_orderkey").cast("string"), F.lit("  ")).alias("name"),
-        F.concat(F.lit("ONC00"), (F.col("l_suppkey") % 3 + 1).cast("string")).alias("project"),
+        F.concat(F.lit("PRJ00"), (F.col("l_suppkey") % 3 + 1).cast("string")).alias("project"),
         _pick(F.col("l_returnflag"), {"R": "Witnessed", "A": "Signed", "N": "Draft"}).alias("status"),
         _shipped().cast("date").cast("string").alias("run_date"),
         _id("Author ", "l_suppkey").alias("author"),
@@ -102,7 +103,7 @@ def raw_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(_shipped()).alias("created_at"),
         F.when(_is_f(), _text(signed)).when(~_is_n(), "").alias("signed_at"),
         F.when(is_witnessed, _text(witnessed)).otherwise("").alias("witnessed_at"),
-        _month().alias("ingest_date"),
+        _load_day().alias("ingest_date"),
     )
 
 
@@ -146,7 +147,7 @@ def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         only("PROMO", _id("CLN-", "p_partkey")).alias("antibody_clone_id"),
         only("PROMO", _quantity()).alias("antibody_binding_affinity_nm"),
         only("PROMO", F.col("p_size") > 25).alias("antibody_humanized"),
-        _month().alias("ingest_date"),
+        _load_day().alias("ingest_date"),
     )
 
 
@@ -168,7 +169,7 @@ def raw_stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_add(_shipped().cast("date"), _quantity().cast("int")).cast("string"))
         .alias("expiry_date"),
         _updated_at().alias("updated_at"),
-        _month().alias("ingest_date"),
+        _load_day().alias("ingest_date"),
     )
 
 
@@ -201,7 +202,7 @@ def raw_screening_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         (_line() * 24).alias("measurement_timepoint_hours"),
         _id("Instrument ", "l_suppkey").alias("instrument_name"),
         F.when(failed, "Fail").otherwise("Pass").alias("qc_flag"),
-        _month().alias("ingest_date"),
+        _load_day().alias("ingest_date"),
     )
 
 
@@ -226,12 +227,12 @@ _UPDATED = """case when l_returnflag = 'N' then ''
 _SIGNED = "(l_shipdate + to_hours(cast(l_quantity * 7 as bigint)))"
 _WITNESSED = f"({_SIGNED} + to_hours(cast(l_quantity * 5 as bigint)))"
 _IS_WITNESSED = "(l_linestatus = 'F' and l_returnflag <> 'N')"
-_MONTH = "cast(date_trunc('month', l_shipdate) as date)"
+_LOAD_DAY = "cast(date_trunc('year', l_shipdate) as date)"
 
 RAW = {
     "raw_experiments": f"""
 select 'EXP-' || l_orderkey as id, chr(9) || ' Order ' || l_orderkey || '  ' as name,
-    'ONC00' || (l_suppkey % 3 + 1) as project,
+    'PRJ00' || (l_suppkey % 3 + 1) as project,
     {_case("l_returnflag", {"R": "Witnessed", "A": "Signed", "N": "Draft"})} as status,
     cast(cast(l_shipdate as date) as varchar) as run_date, 'Author ' || l_suppkey as author,
     case when {_IS_WITNESSED} then 'Witness ' || l_partkey end as witnessed_by,
@@ -240,7 +241,7 @@ select 'EXP-' || l_orderkey as id, chr(9) || ' Order ' || l_orderkey || '  ' as
     case when l_linestatus = 'F' then cast({_SIGNED} as varchar)
         when l_returnflag <> 'N' then '' end as signed_at,
     case when {_IS_WITNESSED} then cast({_WITNESSED} as varchar) else '' end as witnessed_at,
-    {_MONTH} as ingest_date
+    {_LOAD_DAY} as ingest_date
 from lineitem""",
     "raw_samples": f"""
 select 'SMP-' || p_partkey as id, chr(9) || p_name || ' ' || chr(10) as sample_name,
@@ -271,7 +272,7 @@ select 'SMP-' || p_partkey as id, chr(9) || p_name || ' ' || chr(10) as sample_n
     case when p_type = 'PROMO' then 'CLN-' || p_partkey end as antibody_clone_id,
     case when p_type = 'PROMO' then l_quantity end as antibody_binding_affinity_nm,
     case when p_type = 'PROMO' then p_size > 25 end as antibody_humanized,
-    {_MONTH} as ingest_date
+    {_LOAD_DAY} as ingest_date
 from lineitem join part on l_partkey = p_partkey""",
     "raw_stocks": f"""
 select 'STK-' || l_partkey || '-' || l_linenumber as id, 'SMP-' || l_partkey as sample_id,
@@ -282,7 +283,7 @@ select 'STK-' || l_partkey || '-' || l_linenumber as id, 'SMP-' || l_partkey as
     case when l_returnflag = 'N' then '' else cast(l_shipdate + interval 1 day as varchar) end as stored_at,
     case when l_returnflag = 'N' and l_linestatus <> 'F' then ''
         else cast(cast(l_shipdate as date) + cast(l_quantity as int) as varchar) end as expiry_date,
-    {_UPDATED} as updated_at, {_MONTH} as ingest_date
+    {_UPDATED} as updated_at, {_LOAD_DAY} as ingest_date
 from lineitem""",
     "raw_screening_results": f"""
 select 'RES-' || l_orderkey as result_id, 'MEA-' || l_orderkey || '-' || l_linenumber as measurement_id,
@@ -299,7 +300,7 @@ select 'RES-' || l_orderkey as result_id, 'MEA-' || l_orderkey || '-' || l_linen
     l_linenumber as replicate_number, 3 as replicates_expected,
     l_linenumber * 24 as measurement_timepoint_hours, 'Instrument ' || l_suppkey as instrument_name,
     case when l_returnflag = 'R' and l_linestatus <> 'F' then 'Fail' else 'Pass' end as qc_flag,
-    {_MONTH} as ingest_date
+    {_LOAD_DAY} as ingest_date
 from lineitem""",
 }
 

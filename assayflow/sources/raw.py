@@ -2,31 +2,36 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayflow.operators.flatten import flatten
+from assayflow.operators.keys import batch_key, new_records, record_hash
 from assayflow.operators.schema import conform
 from assayflow.sources.landing import METADATA_COLUMNS, read_landing, with_source_file
+from assayflow.sources.paths import path_exists
 from assayflow.sources.registry import Dataset
-from assayflow.operators.keys import batch_key
 
 PARTITIONS = T.StructType([T.StructField("ingest_date", T.DateType()), T.StructField("source_batch", T.StringType())])
 
 
+RECORD_HASH = "record_hash"
+
+
 def to_raw(landed: DataFrame, on_collision: str = "last_wins", arrays: str = "last_element") -> DataFrame:
-    """Flat records with the file they came from."""
-    tagged = with_source_file(landed)
-    flat = flatten(tagged.select(*landed.columns, *METADATA_COLUMNS), on_collision, arrays)
-    return flat
+    """Flat records with the file they came from and the hash of the landed record."""
+    tagged = with_source_file(landed).withColumn(RECORD_HASH, record_hash(landed))
+    return flatten(tagged.select(*landed.columns, *METADATA_COLUMNS, RECORD_HASH), on_collision, arrays)
 
 
 def raw_schema(spark: SparkSession, ds: Dataset, arrays: str) -> T.StructType:
     """Columns of the raw table: the flattened landing schema, file metadata, partitions."""
     empty = spark.createDataFrame([], ds.landing_schema)
     schema = flatten(empty, arrays=arrays).schema
-    for name in METADATA_COLUMNS:
+    for name in (*METADATA_COLUMNS, RECORD_HASH):
         schema = schema.add(name, T.StringType())
     return T.StructType(schema.fields + PARTITIONS.fields)
 
@@ -54,10 +59,35 @@ def scan_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def ingest_files(spark: SparkSession, ds: Dataset, paths: list[str], root: str, ingest_date, arrays: str) -> str:
+def add_batch(
+    spark: SparkSession, ds: Dataset, rows: DataFrame, root: str, batch: str, arrays: str, skip_stored: bool = False
+) -> None:
+    """Write one batch of raw rows under the declared schema.
+
+    With ``skip_stored`` records whose key and hash came with another batch, or
+    occur twice in this one, are left out; the stored rows are read for these two columns only.
+    """
+    schema, path = raw_schema(spark, ds, arrays), ds.raw_path(root)
+    rows = conform(rows, T.StructType(schema.fields[:-1]))
+    if skip_stored and path_exists(spark, path):
+        stored = scan_raw(spark, path, schema).filter(F.col("source_batch") != batch)
+        rows = new_records(rows, stored, (ds.key, RECORD_HASH)).select(*rows.columns)
+    elif skip_stored:
+        rows = rows.dropDuplicates([ds.key, RECORD_HASH])
+    write_raw(rows, path, batch)
+
+
+def ingest_files(
+    spark: SparkSession,
+    ds: Dataset,
+    paths: list[str],
+    root: str,
+    ingest_date: date,
+    arrays: str,
+    skip_stored: bool = False,
+) -> str:
     """Read the listed files in one job and add them to the raw table; returns the batch key."""
     key = batch_key(ds.name, paths)
     flat = to_raw(read_landing(spark, ds.landing_schema, paths), arrays=arrays)
-    flat = flat.withColumn("ingest_date", F.lit(ingest_date).cast("date"))
-    write_raw(conform(flat, T.StructType(raw_schema(spark, ds, arrays).fields[:-1])), ds.raw_path(root), key)
+    add_batch(spark, ds, flat.withColumn("ingest_date", F.lit(ingest_date)), root, key, arrays, skip_stored)
     return key

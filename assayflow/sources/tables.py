@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayflow.operators.incremental import DuplicateKeyError, any_null, upsert
+from assayflow.sources.paths import hadoop_path
 
 BUCKET = "key_bucket"
 BROADCAST_LIMIT = 32 * 1024 * 1024  # bytes of keys
@@ -45,12 +46,8 @@ class Table:
 
     # -- which version of each bucket is current ------------------------------------
 
-    def _fs(self, path: str):
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm_path
-
     def _versions(self) -> list[int]:
-        fs, folder = self._fs(f"{self.path}/current")
+        fs, folder = hadoop_path(self.spark, f"{self.path}/current")
         if not fs.exists(folder):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(folder)]
@@ -67,11 +64,11 @@ class Table:
         return T.StructType.fromJson(published["schema"]), buckets
 
     def _publish(self, version: int, schema: T.StructType, buckets: dict[int, int]) -> None:
-        fs, draft = self._fs(f"{self.path}/current/.draft-{version:08d}")
+        fs, draft = hadoop_path(self.spark, f"{self.path}/current/.draft-{version:08d}")
         out = fs.create(draft, True)
         out.write(bytearray(json.dumps({"schema": schema.jsonValue(), "buckets": buckets}), "utf-8"))
         out.close()
-        _, final = self._fs(f"{self.path}/current/v{version:08d}.json")
+        _, final = hadoop_path(self.spark, f"{self.path}/current/v{version:08d}.json")
         if fs.exists(final) or not fs.rename(draft, final):
             raise RuntimeError(f"another writer published version {version} of {self.path}")
 
@@ -115,7 +112,7 @@ class Table:
         self._publish(version, df.schema, {b: version for b in self._written(version)})
 
     def _written(self, version: int) -> list[int]:
-        fs, folder = self._fs(f"{self.path}/data/v{version:08d}")
+        fs, folder = hadoop_path(self.spark, f"{self.path}/data/v{version:08d}")
         names = [s.getPath().getName() for s in fs.listStatus(folder)]
         return [int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")]
 
@@ -178,5 +175,5 @@ class Table:
             live |= set(self._list(v)[1].values())
         for v in versions[:-keep]:
             for stale in [f"current/v{v:08d}.json", f"staged/v{v:08d}"] + ([] if v in live else [f"data/v{v:08d}"]):
-                fs, path = self._fs(f"{self.path}/{stale}")
+                fs, path = hadoop_path(self.spark, f"{self.path}/{stale}")
                 fs.delete(path, True)

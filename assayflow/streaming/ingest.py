@@ -6,13 +6,11 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from assayflow.operators.keys import batch_keys
-from assayflow.operators.schema import conform
 from assayflow.sources.landing import FILE_PATTERN, stream_landing
-from assayflow.sources.raw import raw_schema, to_raw, write_raw
+from assayflow.sources.raw import add_batch, to_raw
 from assayflow.sources.registry import Dataset
 
 POLL_SECONDS = 300
@@ -37,6 +35,7 @@ def ingest_stream(
     once: bool = True,
     max_files_per_trigger: int = 1000,
     pattern: str = FILE_PATTERN,
+    skip_stored: bool = False,
 ) -> StreamingQuery:
     """Add every new landed file to the raw table, exactly once.
 
@@ -48,13 +47,11 @@ def ingest_stream(
     landed = stream_landing(spark, ds.landing_schema, ds.landing_path(root), max_files_per_trigger, pattern)
     day = F.current_date() if ingest_date is None else F.lit(ingest_date)
     flat = to_raw(landed, arrays=arrays).withColumn("ingest_date", day)
-    schema = raw_schema(spark, ds, arrays)
-    rows = conform(flat, T.StructType(schema.fields[:-1]))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        write_raw(batch, ds.raw_path(root), batch_name(ds.name, batch_id))
+        add_batch(batch.sparkSession, ds, batch, root, batch_name(ds.name, batch_id), arrays, skip_stored)
 
-    return start(rows, on_batch, f"{root}/checkpoints/raw-{ds.name}", once)
+    return start(flat, on_batch, f"{root}/checkpoints/raw-{ds.name}", once)
 
 
 def batch_lineage(raw: DataFrame, dataset_name: str) -> DataFrame:

@@ -16,7 +16,7 @@ RUN = dt.datetime(2026, 6, 15, 6, 0)
 
 def experiment(id, status, created, signed, witnessed):
     return {
-        "experiment": {"id": id, "project": "ONC001", "name": f" {id} ", "status": status, "run_date": "2024-01-15"},
+        "experiment": {"id": id, "project": "PRJ001", "name": f" {id} ", "status": status, "run_date": "2024-01-15"},
         "people": {"author": "Ann", "witnessed_by": None},
         "protocol": {"protocol_name": "P", "protocol_code": "ICI-1009", "protocol_version": "v1"},
         "timestamps": {"created_at": created, "signed_at": signed, "witnessed_at": witnessed},

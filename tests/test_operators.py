@@ -39,6 +39,30 @@ def test_fanout_join_equals_left_join_with_a_hot_key(spark):
     assert bag(left_join_fanout(left, right, ["k"])) == bag(left.join(right, "k", "left"))
 
 
+def test_fanout_join_lets_adaptive_execution_split_the_hot_key(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(1000).select(F.col("id").alias("k"), F.lit("l").alias("l"))
+        hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 900)
+        right = spark.range(0, 60000, 1, 16).select(hot.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("r"))
+        plain, split = left.join(right, "k", "left"), left_join_fanout(left, right, ["k"])
+        assert plain.count() == split.count() > 60000
+        plain.collect(), split.collect()
+        assert "skew=true" not in plan(plain)
+        assert "skew=true" in plan(split)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def test_orphans_count_rows_and_pass_nulls(spark):
     child = spark.createDataFrame([(1,), (2,), (2,), (None,)], "fk int")
     parent = spark.createDataFrame([(1,), (1,)], "id int")

@@ -88,3 +88,20 @@ def test_merge_stream_keeps_newest_and_survives_replay(spark, tmp_path):
     assert sorted(map(tuple, table.read().collect())) == expected
     merge_batch(table, spark.createDataFrame([(1, 3), (2, 9)], "k int, day int"), order(), late_safe=True)
     assert sorted(map(tuple, table.read().collect())) == expected
+
+
+def test_stored_records_are_skipped_on_request(spark, tmp_path):
+    from assayflow.sources.raw import ingest_files
+
+    paths = land(tmp_path, D1)["experiments"]
+    again = tmp_path / "again.json"
+    again.write_text(open(paths[0]).read())
+    raw = lambda: Pipeline(spark, str(tmp_path)).raw("experiments")
+    ds = DATASETS["experiments"]
+    for file in (paths[0], str(again), str(again)):
+        ingest_files(spark, ds, [file], str(tmp_path), D1, "last_element", skip_stored=True)
+        assert raw().count() == 4
+    ingest_files(spark, ds, land(tmp_path, D2)["experiments"], str(tmp_path), D2, "last_element", skip_stored=True)
+    assert raw().count() == 5 and raw().select("record_hash").distinct().count() == 5
+    ingest_files(spark, ds, [str(again)], str(tmp_path), D2, "last_element")
+    assert raw().count() == 9
