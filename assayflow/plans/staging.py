@@ -114,6 +114,10 @@ RESULT_COLUMNS = (
 )
 
 
+# Which of several rows of one result is kept when they came on the same day.
+RESULT_TIES = ("measurement_id", "replicate_number", "stock_id", "sample_id")
+
+
 def _newest_day() -> Column:
     return F.col("ingest_date").cast("date").desc_nulls_last()
 
@@ -147,9 +151,10 @@ def stage_stocks(raw: DataFrame) -> DataFrame:
 
 def stage_results(raw: DataFrame, profile: Profile = COMPAT) -> DataFrame:
     """Typed screening results at the grain of the profile."""
-    tie_break = ["measurement_id", "replicate_number", "stock_id", "sample_id"]
-    order = [_newest_day(), *(F.col(c).asc_nulls_last() for c in tie_break if c not in profile.result_key)]
-    newest = dedup(_needed(raw, RESULT_COLUMNS), profile.result_key, order)
+    used = {*profile.result_key, "ingest_date"}
+    names = [spec.split()[0] for spec in RESULT_COLUMNS]
+    ties = [c for c in dict.fromkeys((*RESULT_TIES, *names)) if c not in used]
+    newest = dedup(_needed(raw, RESULT_COLUMNS), profile.result_key, [_newest_day()], ties)
     return project(newest, RESULT_COLUMNS)
 
 

@@ -6,7 +6,6 @@ import time
 from pyspark.sql import functions as F
 
 from assayflow.plans.pipeline import Pipeline
-from assayflow.plans.profiles import COMPAT
 from assayflow.sources.landing import landed_files, unprocessed_files
 from assayflow.sources.raw import write_raw
 from assayflow.sources.registry import DATASETS
