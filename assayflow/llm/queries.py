@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayflow.llm import chat
+from assayflow.llm import chat, mixing
 from assayflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,49 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(CASE WHEN role = 'assistant' OR position = n THEN upto ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM placed GROUP BY conv_id
 """
+
+
+def label_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality weights of the labelled documents: 2 for good ones, a half for others."""
+    labels = table(spark, sf_dir, "labels")
+    return labels.select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).alias("quality"))
+
+
+@query
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, weighted by their quality labels."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), label_weights(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+# Targets: a source is at its limit if the level of those before it, in the order of their limits, lifts it above.
+SQL["op10_source_mix"] = r"""
+WITH quality AS (
+  SELECT doc_id, avg(CASE quality WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 END) AS quality FROM labels GROUP BY doc_id
+), docs AS (
+  SELECT d.doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+    floor((1 - pow((CAST('0x' || substr(md5('42:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0,
+      1 / coalesce(q.quality, 1.0))) * 1099511627776.0)::BIGINT AS k
+  FROM documents d LEFT JOIN quality q ON d.doc_id = q.doc_id
+), sources AS (
+  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST)) % 3 WHEN 1 THEN 3.0::DOUBLE WHEN 2 THEN 1.0 ELSE 2.0 END AS w
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source)
+), levels AS (
+  SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5 - coalesce(sum(2.0::DOUBLE * source_size) OVER before, 0))
+    / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level
+  FROM sources
+  WINDOW before AS (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), targets AS (
+  SELECT source, source_size, target, target - source_size * epochs AS rest, epochs
+  FROM (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs
+    FROM (SELECT *, least(2.0::DOUBLE * source_size,
+      coalesce(min(CASE WHEN level * w <= 2.0::DOUBLE * source_size THEN level END) OVER (), 1e300) * w) AS target FROM levels))
+), keys AS (
+  SELECT *, sum(n) OVER (PARTITION BY source ORDER BY k) AS upto
+  FROM (SELECT source, k, sum(size) AS n FROM docs GROUP BY source, k)
+)
+SELECT d.doc_id, d.size::BIGINT AS size, t.source_size, t.target,
+  CAST(d.size * (t.epochs + CASE WHEN upto <= rest OR (upto - n <= rest AND upto - rest < rest - (upto - n)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM docs d JOIN keys x ON d.source IS NOT DISTINCT FROM x.source AND d.k = x.k
+JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+"""
