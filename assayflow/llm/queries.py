@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayflow.llm import chat, mixing
+from assayflow.llm import chat, mixing, warc
 from assayflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,23 @@ SELECT d.doc_id, d.size::BIGINT AS size, t.source_size, t.target,
 FROM docs d JOIN keys x ON d.source IS NOT DISTINCT FROM x.source AND d.k = x.k
 JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
 """
+
+
+@query
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written to archives and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+SQL["op5_warc_round_trip"] = r"""
+WITH records AS (
+  SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS holder FROM pages
+), typed AS (
+  SELECT *, CASE WHEN holder IS NOT NULL AND page_id IS DISTINCT FROM holder THEN holder END AS refers_to, sha1(payload) AS hex FROM records
+)
+SELECT page_id, strlen(payload) AS payload_bytes,
+  translate(list_aggregate([lpad(to_base(CAST('0x' || substr(hex, 1 + 10 * i, 10) AS BIGINT), 32), 8, '0') FOR i IN range(4)], 'string_agg', ''),
+    '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM typed
+"""
