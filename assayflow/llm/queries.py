@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayflow.llm import chat, mixing, warc
+from assayflow.llm import chat, mixing, simhash, warc
 from assayflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,10 @@ SELECT page_id, strlen(payload) AS payload_bytes,
   CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
 FROM typed
 """
+
+
+@query
+def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: 64 bits over four-word shingles, linked at up to 4 differing bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
