@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayflow.llm import chat, mixing, simhash, warc
+from assayflow.llm import chat, mixing, sentencepiece, simhash, warc
 from assayflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +128,10 @@ def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: 64 bits over four-word shingles, linked at up to 4 differing bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, encoded with the 32,000 pieces and decoded again."""
+    model = sentencepiece.Model.load(public_tokenizers.path("piece_bpe_32k.model"))
+    return sentencepiece.round_trip(table(spark, sf_dir, "documents"), model)
