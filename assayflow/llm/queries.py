@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayflow.llm import chat, mixing, sentencepiece, simhash, warc
+from assayflow.llm import chat, mixing, sentencepiece, simhash, token_counts, warc
 from assayflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,11 @@ def op2_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, encoded with the 32,000 pieces and decoded again."""
     model = sentencepiece.Model.load(public_tokenizers.path("piece_bpe_32k.model"))
     return sentencepiece.round_trip(table(spark, sf_dir, "documents"), model)
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, counted as the tokenizer of 49,408 lower-case word pieces does."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), definition)

@@ -58,7 +58,7 @@ def test_equals_plain_program_and_decodes(model, pieces):
     assert model.decode([3 + 0xFF, 3 + 0x41]) == "�A"
 
 
-def test_equals_library_where_its_single_precision_suffices(model):
+def test_no_worse_than_the_library(model):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2
 
@@ -68,7 +68,11 @@ def test_equals_library_where_its_single_precision_suffices(model):
     library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
     rng = random.Random(6)
     texts = [" ".join("".join(rng.choice("aehinorst") for _ in range(rng.randrange(1, 12))) for _ in range(20)) for _ in range(100)]
-    assert [i.tolist() for i in model.encode([t.encode() for t in texts], {})] == library.encode(texts)
+    score = lambda ids: sum(library.get_score(i) for i in ids)
+    ours, theirs = [i.tolist() for i in model.encode([t.encode() for t in texts], {})], library.encode(texts)
+    # The library adds up in single precision and now and then ends a few points below the best path.
+    assert all(score(a) > score(b) for a, b in zip(ours, theirs) if a != b)
+    assert sum(a == b for a, b in zip(ours, theirs)) >= 95
 
 
 def test_small_store_and_batches_change_nothing(model, monkeypatch):
