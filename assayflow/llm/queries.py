@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayflow.llm import chat, mixing, sentencepiece, simhash, token_counts, toxicity, warc
+from assayflow.llm import chat, mixing, pii, sentencepiece, simhash, token_counts, toxicity, warc
 from assayflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, scored by a model of the labelled ones that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, with a field fitted on a sample of them."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
