@@ -87,11 +87,12 @@ def _cutoffs(rows: DataFrame, per_source: DataFrame) -> tuple[DataFrame, str]:
 
 
 def weigh_documents(docs: DataFrame, quality: DataFrame | None, seed: int) -> DataFrame:
-    """doc_id, source, size in words, and the 40-bit key in the order of sampling.
+    """doc (the whole row), doc_id, source, size in words, and the 40-bit key in the order of sampling.
 
     `quality` has doc_id and quality, a positive weight; documents without one weigh 1.
     """
-    rows = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    rows = docs.select(F.struct("*").alias("doc"), "doc_id", "source", size.alias("size"))
     if quality is None:
         rows = rows.withColumn("quality", F.lit(1.0))
     else:
@@ -100,9 +101,30 @@ def weigh_documents(docs: DataFrame, quality: DataFrame | None, seed: int) -> Da
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(2**52)
     weight = F.when(F.col("quality") > 0, F.col("quality")).otherwise(1.0)
-    return rows.select(
-        "doc_id", "source", "size", F.floor((1 - F.pow(u, 1 / weight)) * float(2**KEY_BITS)).cast("long").alias("key")
+    key = F.floor((1 - F.pow(u, 1 / weight)) * float(2**KEY_BITS)).cast("long")
+    return rows.select("doc", "doc_id", "source", "size", key.alias("key"))
+
+
+def plan_sources(rows: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
+    """Per source, as `of`: source_size, target, epochs, rest, and where its sampled prefix ends."""
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per_source, _ = staged(targets(sizes, weights, share, most), "mix-sources")
+    cuts, _ = _cutoffs(rows, per_source)
+    plan = per_source.join(cuts, F.col("source").eqNullSafe(F.col("of")), "left").select(
+        F.col("source").alias("of"), "source_size", "target", "epochs", "rest", "cut", "cut_taken"
+    )
+    return staged(plan, "mix-plan")[0]
+
+
+def _copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """The rows with their source's plan and `copies`, how often the mix takes them."""
+    sampled = (
+        F.when(F.col("cut").isNull(), F.col("rest") > 0)
+        .when(F.col("key") == F.col("cut"), F.col("cut_taken"))
+        .otherwise(F.col("key") < F.col("cut"))
     )
+    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("of")))
+    return joined.withColumn("copies", F.col("epochs") + sampled.cast("long"))
 
 
 def mix(
@@ -123,20 +145,23 @@ def mix(
     the sum nearer to the target than leaving it out. A NULL source is a source of its own;
     a source of empty texts has target 0. No rows give no rows.
     """
-    rows, _ = staged(weigh_documents(docs, quality, seed), "mix-rows")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    per_source, _ = staged(targets(sizes, weights, share, most), "mix-sources")
-    cuts, _ = _cutoffs(rows, per_source)
-    plan = per_source.join(cuts, F.col("source").eqNullSafe(F.col("of")), "left").select(
-        F.col("source").alias("of"), "source_size", "target", "epochs", "rest", "cut", "cut_taken"
-    )
-    plan, _ = staged(plan, "mix-plan")
-    sampled = (
-        F.when(F.col("cut").isNull(), F.col("rest") > 0)
-        .when(F.col("key") == F.col("cut"), F.col("cut_taken"))
-        .otherwise(F.col("key") < F.col("cut"))
-    )
-    copies = F.col("epochs") + sampled.cast("long")
-    return rows.join(plan, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+    rows, _ = staged(weigh_documents(docs, quality, seed).drop("doc"), "mix-rows")
+    return _copies(rows, plan_sources(rows, weights, share, most)).select(
+        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+def mixed_documents(
+    docs: DataFrame,
+    quality: DataFrame | None = None,
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    most: float = 2.0,
+    seed: int = 42,
+) -> DataFrame:
+    """The documents of the mix, each as often as `mix` takes it, with all columns of `docs`."""
+    weighed = weigh_documents(docs, quality, seed)
+    rows, _ = staged(weighed.drop("doc"), "mix-rows")
+    taken = _copies(weighed, plan_sources(rows, weights, share, most)).where("copies > 0")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return taken.select("doc", copies.alias("copy")).select("doc.*")

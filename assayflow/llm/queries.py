@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayflow.llm import chat, mixing, pii, sentencepiece, simhash, token_counts, toxicity, warc
+from assayflow.llm import chat, ego, mixing, pii, sentencepiece, simhash, token_counts, toxicity, warc
 from assayflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,31 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, with a field fitted on a sample of them."""
     docs = table(spark, sf_dir, "documents")
     return pii.find(docs, pii.fit(docs))
+
+
+@query
+def op1_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings, linked at a cosine of 0.9."""
+    return ego.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op1_embedding_near_duplicates"] = r"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), reached AS (
+  SELECT a AS vec_id, a AS other FROM (SELECT DISTINCT a FROM links)
+  UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a
+), grouped AS (
+  SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+), counted AS (
+  SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, e.vec_id) AS component_id,
+  e.vec_id = coalesce(component_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN grouped g ON e.vec_id = g.vec_id LEFT JOIN counted c ON e.vec_id = c.vec_id
+"""
