@@ -50,8 +50,8 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
             / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
         ).alias("level"),
     )
-    # The level that spends all is the one at the first source that does not reach its limit.
-    level = F.min(F.when(F.col("level") * F.col("weight") <= F.col("most"), F.col("level"))).over(everything)
+    # The level that spends all is the one at the first source that does not reach its limit; levels fall from there on.
+    level = F.max(F.when(F.col("level") * F.col("weight") <= F.col("most"), F.col("level"))).over(everything)
     target = F.least("most", F.coalesce(level, F.lit(float("inf"))) * F.col("weight"))
     rows = rows.withColumn("target", target)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")

@@ -91,7 +91,7 @@ WITH quality AS (
   SELECT source, source_size, target, target - source_size * epochs AS rest, epochs
   FROM (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs
     FROM (SELECT *, least(2.0::DOUBLE * source_size,
-      coalesce(min(CASE WHEN level * w <= 2.0::DOUBLE * source_size THEN level END) OVER (), 1e300) * w) AS target FROM levels))
+      coalesce(max(CASE WHEN level * w <= 2.0::DOUBLE * source_size THEN level END) OVER (), 1e300) * w) AS target FROM levels))
 ), keys AS (
   SELECT *, sum(n) OVER (PARTITION BY source ORDER BY k) AS upto
   FROM (SELECT source, k, sum(size) AS n FROM docs GROUP BY source, k)
