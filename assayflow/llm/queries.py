@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayflow.llm import chat, ego, mixing, pii, sentencepiece, simhash, token_counts, toxicity, warc
+from assayflow.llm import chat, ego, mixing, paragraph_sketch, pii, sentencepiece, simhash, token_counts, toxicity, warc
 from assayflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,9 @@ SELECT e.vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, e.vec_i
   e.vec_id = coalesce(component_id, e.vec_id) AS kept
 FROM embeddings e LEFT JOIN grouped g ON e.vec_id = g.vec_id LEFT JOIN counted c ON e.vec_id = c.vec_id
 """
+
+
+@query
+def op6_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against their edited texts and the next documents."""
+    return paragraph_sketch.compare_versions(table(spark, sf_dir, "documents"))
