@@ -163,23 +163,23 @@ def status_mismatches(experiments: DataFrame) -> DataFrame:
 def screening_input_failures(results: DataFrame, samples: DataFrame, stocks: DataFrame, protocols: DataFrame) -> DataFrame:
     """Rows per screening input rule broken: protocol, sample type, stock owner.
 
-    Each lookup side is unique on its key. Results are counted per key first, so
-    no join sees a hot key.
+    Each lookup side is unique on its key. Results are counted once, per protocol, sample and
+    stock, so no join sees a hot key. A NULL id is in no catalogue and breaks its rule.
     """
-    by_protocol = results.groupBy("protocol_code").agg(F.count(F.lit(1)).alias("n_rows"))
-    unknown = by_protocol.join(F.broadcast(protocols.select("protocol_code")), "protocol_code", "left_anti")
-    antibodies = samples.filter(F.col("sample_type") == "antibody_candidate").select("sample_id")
-    by_sample = results.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    not_antibody = by_sample.join(antibodies, "sample_id", "left_anti")
-    by_pair = results.groupBy("stock_id", "sample_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    not_owner = by_pair.join(stocks.select("stock_id", "sample_id"), ["stock_id", "sample_id"], "left_anti")
-
-    def total(df: DataFrame, rule: str) -> DataFrame:
-        failures = F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("failures")
-        return df.agg(failures).select(F.lit(rule).alias("rule"), "failures")
-
-    return (
-        total(unknown, "protocol_not_in_catalogue")
-        .unionByName(total(not_antibody, "sample_not_antibody_candidate"))
-        .unionByName(total(not_owner, "stock_not_of_sample"))
+    found = lambda df, keys, name: df.select(*keys, F.lit(True).alias(name))
+    counts = results.groupBy("protocol_code", "sample_id", "stock_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    antibodies = samples.filter(F.col("sample_type") == "antibody_candidate")
+    checked = (
+        counts.join(F.broadcast(found(protocols, ["protocol_code"], "known_protocol")), "protocol_code", "left")
+        .join(found(antibodies, ["sample_id"], "is_antibody"), "sample_id", "left")
+        .join(found(stocks, ["stock_id", "sample_id"], "is_owner"), ["stock_id", "sample_id"], "left")
     )
+    rules = {
+        "protocol_not_in_catalogue": "known_protocol",
+        "sample_not_antibody_candidate": "is_antibody",
+        "stock_not_of_sample": "is_owner",
+    }
+    failures = lambda flag: F.coalesce(F.sum(F.when(F.col(flag).isNull(), F.col("n_rows"))), F.lit(0)).cast("bigint")
+    totals = checked.agg(*(failures(flag).alias(rule) for rule, flag in rules.items()))
+    listed = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("failures")) for r in rules)))
+    return totals.select(listed.alias("of")).select("of.rule", "of.failures")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayflow.functions import flag, month_start, safe_ratio
@@ -57,48 +57,42 @@ def candidate_mart(candidates: DataFrame, results: DataFrame, rules: CandidateRu
     """One row per candidate: stocks, tests, averages, pass rate, recommendation.
 
     Equals a left join of candidates and results on sample and stock, grouped by
-    candidate. It is written as the candidates themselves united with the inner
-    join: the left join adds only NULL result columns, and the candidate columns
-    are aggregated by distinct count and max, which repeated rows do not change. The
-    inner join may be split on either side when one stock has very many results,
-    and the aggregation combines on the map side, per distinct value first.
+    candidate. The counts of stocks depend on the candidates alone and are made there;
+    results are grouped by the sample and the number of its variant - samples normally have
+    one - and only then meet the candidate's columns. The inner join may be split on
+    either side when one stock has very many results.
     """
-    stocks = candidates.select(
-        *CANDIDATE,
-        F.col("stock_id").alias("available_stock"),
-        F.when(~F.col("is_expired") & ~F.col("is_depleted"), F.col("stock_id")).alias("usable_stock"),
-        F.col("ingest_date").alias("candidate_ingest_date"),
+    attributes = [c for c in CANDIDATE if c != "sample_id"]
+    variants = Window.partitionBy("sample_id").orderBy(*attributes)
+    numbered = candidates.withColumn("variant", F.dense_rank().over(variants))
+    usable = F.when(~F.col("is_expired") & ~F.col("is_depleted"), F.col("stock_id"))
+    sides = numbered.groupBy("sample_id", "variant").agg(
+        *(F.min(c).alias(c) for c in attributes),
+        F.countDistinct("stock_id").alias("num_available_stocks"),
+        F.countDistinct(usable).alias("num_usable_stocks"),
+        F.max("ingest_date").alias("latest_candidate_ingest_date"),
     )
-    tested = candidates.select(*CANDIDATE, "stock_id").join(
+    tested = numbered.select("sample_id", "stock_id", "variant").join(
         results.select(
-            "sample_id",
-            "stock_id",
-            F.col("stock_id").alias("tested_stock"),
-            "experiment_id",
-            "result_id",
-            "endpoint_name",
-            "endpoint_value",
-            "is_qc_pass",
-            F.col("ingest_date").alias("result_ingest_date"),
+            "sample_id", "stock_id", "experiment_id", "result_id", "endpoint_name", "endpoint_value", "is_qc_pass", "ingest_date"
         ),
         ["sample_id", "stock_id"],
     )
-    rows = stocks.unionByName(tested.drop("stock_id"), allowMissingColumns=True)
-    summary = rows.groupBy(*CANDIDATE).agg(
-        F.countDistinct("available_stock").alias("num_available_stocks"),
-        F.countDistinct("usable_stock").alias("num_usable_stocks"),
+    tests = tested.groupBy("sample_id", "variant").agg(
         F.countDistinct("experiment_id").alias("num_experiments"),
-        F.countDistinct("tested_stock").alias("num_stocks_tested"),
+        F.countDistinct("stock_id").alias("num_stocks_tested"),
         F.count("result_id").alias("num_screening_results"),
         average_of(rules.affinity).alias("avg_binding_affinity_nm"),
         average_of(rules.cytotoxicity).alias("avg_cytotoxicity_percent"),
         average_of(rules.cytokine).alias("avg_cytokine_release_pg_ml"),
         average_of(rules.activation).alias("avg_activation_or_inhibition_percent"),
         safe_ratio(F.count_if("is_qc_pass"), F.count("result_id")).alias("qc_pass_rate"),
-        F.max("result_ingest_date").alias("latest_screening_ingest_date"),
-        F.max("candidate_ingest_date").alias("latest_candidate_ingest_date"),
+        F.max("ingest_date").alias("latest_screening_ingest_date"),
     )
-    return summary.withColumn("candidate_recommendation", recommendation(rules))
+    counted = ("num_experiments", "num_stocks_tested", "num_screening_results")
+    summary = sides.join(tests, ["sample_id", "variant"], "left").fillna(0, list(counted))
+    columns = [*CANDIDATE, "num_available_stocks", "num_usable_stocks", *tests.columns[2:], "latest_candidate_ingest_date"]
+    return summary.select(*columns).withColumn("candidate_recommendation", recommendation(rules))
 
 
 EXPERIMENT = (

@@ -119,9 +119,9 @@ _CODES = ", ".join(f"'{a[0]}'" for a in ASSAYS)
 
 @query(lab_sql(f"""
 select 'protocol_not_in_catalogue' as rule, count(*) as failures from fct_screening_results
-where protocol_code not in ({_CODES})
-union all select 'sample_not_antibody_candidate', count(*) from fct_screening_results
-where sample_id not in (select sample_id from stg_samples where sample_type = 'antibody_candidate')
+where coalesce(protocol_code not in ({_CODES}), true)
+union all select 'sample_not_antibody_candidate', count(*) from fct_screening_results r
+where not exists (select 1 from stg_samples s where s.sample_type = 'antibody_candidate' and s.sample_id = r.sample_id)
 union all select 'stock_not_of_sample', count(*) from fct_screening_results r
 where not exists (select 1 from stg_stocks t where t.stock_id = r.stock_id and t.sample_id = r.sample_id)"""))
 def dq_screening_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -134,11 +134,11 @@ def qc_pass_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 select p_type, l_partkey, avg(l_quantity) as avg_score
 from lineitem join part on l_partkey = p_partkey
-group by p_type, l_partkey order by avg_score desc nulls last, l_partkey limit 10""")
+group by p_type, l_partkey""")
 def rank_by_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_part = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.avg("l_quantity").alias("avg_score"))
     parts = table(spark, sf_dir, "part").select("p_type", F.col("p_partkey").alias("l_partkey"))
-    return per_part.join(parts, "l_partkey").orderBy(F.col("avg_score").desc_nulls_last(), "l_partkey").limit(10)
+    return per_part.join(parts, "l_partkey").orderBy(F.col("avg_score").desc_nulls_last(), "l_partkey")
 
 
 @query("""
