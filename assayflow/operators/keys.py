@@ -35,9 +35,14 @@ def record_json(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     return F.to_json(ordered, {"ignoreNullFields": "false"})
 
 
+def record_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """SHA-256 of :func:`record_json`, which decides whether two records are the same."""
+    return F.sha2(record_json(df, columns), 256)
+
+
 def record_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """First twelve hex digits of the SHA-256 of :func:`record_json`."""
-    return F.substring(F.sha2(record_json(df, columns), 256), 1, HASH_DIGITS)
+    """First twelve hex digits of the digest: a short name of a record, not proof of equality."""
+    return F.substring(record_digest(df, columns), 1, HASH_DIGITS)
 
 
 def composite_key(*parts: Column) -> Column:
@@ -45,14 +50,19 @@ def composite_key(*parts: Column) -> Column:
     return F.concat_ws("|", *parts)
 
 
-def new_records(incoming: DataFrame, stored: DataFrame, keys: Sequence[str] = ("id", "record_hash")) -> DataFrame:
+def new_records(
+    incoming: DataFrame, stored: DataFrame, keys: Sequence[str] = ("id", "record_hash"), broadcast_keys: bool = False
+) -> DataFrame:
     """Incoming records, each once, whose key is not stored yet.
 
-    ``stored`` is read for its keys only. Both sides are reduced to one row per
-    key on the map side, so a hot key cannot pile up in one join task.
+    ``stored`` is read for its keys only, and first reduced to those the batch has: with
+    ``broadcast_keys``, for which the caller has measured the batch's keys, that is a scan
+    without a shuffle of the history.
     """
-    known = stored.select(*keys).distinct()
-    return incoming.dropDuplicates(list(keys)).join(known, list(keys), "left_anti")
+    batch = incoming.dropDuplicates(list(keys))
+    wanted = incoming.select(*keys).distinct()
+    known = stored.select(*keys).join(F.broadcast(wanted) if broadcast_keys else wanted, list(keys), "left_semi")
+    return batch.join(known, list(keys), "left_anti")
 
 
 def batch_keys(files: DataFrame, dataset: str, path: str, batch: Sequence[str]) -> DataFrame:

@@ -23,6 +23,7 @@ from assayflow.sources.registry import DATASETS
 from assayflow.sources.tables import Table
 
 UPDATED_AT = "dbt_updated_at"
+BUILT = ("dim_antibody_candidates", "mart_antibody_candidate_summary", "mart_experiment_summary")
 
 
 @dataclass(frozen=True)
@@ -30,13 +31,15 @@ class Pipeline:
     """The model set over one root folder.
 
     ``buckets`` is the layout of the merged tables: pick it for the expected size
-    before the first run.
+    before the first run; stored tables keep theirs. ``keep`` published states of each
+    table stay readable after a build, older files are deleted.
     """
 
     spark: SparkSession
     root: str
     profile: Profile = COMPAT
-    buckets: int = 8
+    buckets: int | None = None
+    keep: int = 3
 
     def raw(self, name: str) -> DataFrame:
         ds = DATASETS[name]
@@ -84,6 +87,8 @@ class Pipeline:
         self.table("mart_antibody_candidate_summary").overwrite(stamp(candidate_mart(candidates, results), run_ts))
         experiments = self.table("dim_experiments").read()
         self.table("mart_experiment_summary").overwrite(stamp(experiment_mart(experiments, results), run_ts))
+        for name in (*self.merged_models, *BUILT):
+            self.table(name).expire(self.keep)
 
     def layers(self) -> dict[str, DataFrame]:
         """Every table by name: raw scans, staging views and stored tables."""
@@ -95,8 +100,7 @@ class Pipeline:
             "stg_screening_results": stage_results(raw["screening_results"], self.profile),
         }
         staged["int_experiments"] = enrich_lifecycle(staged["stg_experiments"])
-        built = ("dim_antibody_candidates", "mart_antibody_candidate_summary", "mart_experiment_summary")
-        stored = {name: self.table(name).read() for name in (*self.merged_models, *built)}
+        stored = {name: self.table(name).read() for name in (*self.merged_models, *BUILT)}
         return {f"raw_{name}": df for name, df in raw.items()} | staged | stored
 
     def check(self) -> DataFrame:

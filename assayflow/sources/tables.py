@@ -17,17 +17,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayflow.operators.incremental import DuplicateKeyError, any_null, upsert
+from assayflow.operators.schema import conform, merge_schemas
 from assayflow.sources.paths import hadoop_path
 
 BUCKET = "key_bucket"
 BROADCAST_LIMIT = 32 * 1024 * 1024  # bytes of keys
+DEFAULT_BUCKETS = 8
 ROW_OVERHEAD = 64  # bytes assumed per broadcast key on top of its text
 
 
 class Table:
     """A table under ``path``; ``keys`` and ``buckets`` matter for merged tables only.
 
-    Choose ``buckets`` so that one bucket holds a few hundred megabytes.
+    Choose ``buckets`` before the first merge so that one bucket holds a few hundred megabytes
+    (DEFAULT_BUCKETS if not given). A stored table keeps its own number of buckets, keys and column types:
+    asking for other ones is an error, and updates are brought to the stored types.
     """
 
     def __init__(
@@ -35,15 +39,23 @@ class Table:
         spark: SparkSession,
         path: str,
         keys: Sequence[str] = (),
-        buckets: int = 8,
+        buckets: int | None = None,
         broadcast_limit: int = BROADCAST_LIMIT,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
-        self.buckets = buckets
+        self._buckets = buckets
         self.broadcast_limit = broadcast_limit
 
+    @property
+    def buckets(self) -> int:
+        """The stored table's number of buckets, or the one it will get."""
+        stored = self._published()["n_buckets"] if self.exists() else None
+        if stored is not None and self._buckets not in (None, stored):
+            raise ValueError(f"{self.path} has {stored} buckets, not {self._buckets}")
+        return stored or self._buckets or DEFAULT_BUCKETS
+
     # -- which version of each bucket is current ------------------------------------
 
     def _versions(self) -> list[int]:
@@ -53,20 +65,23 @@ class Table:
         names = [s.getPath().getName() for s in fs.listStatus(folder)]
         return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json"))
 
-    def _list(self, version: int | None = None) -> tuple[T.StructType, dict[int, int]]:
-        """Schema, and the version of each non-empty bucket, as published."""
+    def _published(self, version: int | None = None) -> dict:
         versions = self._versions()
         if not versions:
             raise FileNotFoundError(f"no table at {self.path}")
         name = f"{self.path}/current/v{version or versions[-1]:08d}.json"
-        published = json.loads(self.spark.read.text(name, wholetext=True).head()[0])
-        buckets = {int(b): v for b, v in published["buckets"].items()}
-        return T.StructType.fromJson(published["schema"]), buckets
+        return json.loads(self.spark.read.text(name, wholetext=True).head()[0])
+
+    def _list(self, version: int | None = None) -> tuple[T.StructType, dict[int, int]]:
+        """Schema, and the version of each non-empty bucket, as published."""
+        published = self._published(version)
+        return T.StructType.fromJson(published["schema"]), {int(b): v for b, v in published["buckets"].items()}
 
-    def _publish(self, version: int, schema: T.StructType, buckets: dict[int, int]) -> None:
+    def _publish(self, version: int, schema: T.StructType, n_buckets: int, buckets: dict[int, int]) -> None:
+        layout = {"schema": schema.jsonValue(), "n_buckets": n_buckets, "keys": self.keys, "buckets": buckets}
         fs, draft = hadoop_path(self.spark, f"{self.path}/current/.draft-{version:08d}")
         out = fs.create(draft, True)
-        out.write(bytearray(json.dumps({"schema": schema.jsonValue(), "buckets": buckets}), "utf-8"))
+        out.write(bytearray(json.dumps(layout), "utf-8"))
         out.close()
         _, final = hadoop_path(self.spark, f"{self.path}/current/v{version:08d}.json")
         if fs.exists(final) or not fs.rename(draft, final):
@@ -87,15 +102,29 @@ class Table:
         """Current rows."""
         return self._read(*self._list())
 
+    def read_matching(self, rows: DataFrame) -> DataFrame:
+        """Current rows whose key is among those of ``rows``, from the buckets these keys are in.
+
+        ``rows`` are read twice, so stage them first. Their keys are broadcast if they are small.
+        """
+        schema, current = self._list()
+        keyed = conform(rows.select(*self.keys), T.StructType([schema[k] for k in self.keys])).filter(~any_null(self.keys))
+        size = F.octet_length(F.concat_ws("", *(F.col(k).cast("string") for k in self.keys))) + ROW_OVERHEAD
+        # One row per bucket.
+        stats = keyed.groupBy(self._bucket(keyed, self.buckets).alias(BUCKET)).agg(F.sum(size).alias("key_bytes")).collect()
+        touched = {b: v for b, v in current.items() if b in {r[BUCKET] for r in stats}}
+        keys = F.broadcast(keyed) if sum(r.key_bytes for r in stats) <= self.broadcast_limit else keyed
+        return self._read(schema, touched).join(keys, self.keys, "left_semi")
+
     # -- writing ---------------------------------------------------------------------
 
-    def _bucket(self, df: DataFrame) -> Column:
+    def _bucket(self, df: DataFrame, n_buckets: int) -> Column:
         """Bucket of a row. Rows with a NULL key are spread by content, not sent to one bucket."""
         by_content = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
         if not self.keys:
-            return F.pmod(by_content, F.lit(self.buckets)).cast("int")
+            return F.pmod(by_content, F.lit(n_buckets)).cast("int")
         by_key = F.xxhash64(*self.keys)
-        return F.pmod(F.when(any_null(self.keys), by_content).otherwise(by_key), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.when(any_null(self.keys), by_content).otherwise(by_key), F.lit(n_buckets)).cast("int")
 
     def _next_version(self) -> int:
         versions = self._versions()
@@ -106,19 +135,19 @@ class Table:
 
     def overwrite(self, df: DataFrame) -> None:
         """Replace all rows. Rows are written where they are computed, without a shuffle."""
-        version = self._next_version()
-        part = F.pmod(F.spark_partition_id(), F.lit(self.buckets)).cast("int")
+        version, n_buckets = self._next_version(), self.buckets
+        part = F.pmod(F.spark_partition_id(), F.lit(n_buckets)).cast("int")
         self._write(df.withColumn(BUCKET, part), version)
-        self._publish(version, df.schema, {b: version for b in self._written(version)})
+        self._publish(version, df.schema, n_buckets, {b: version for b in self._written(version)})
 
     def _written(self, version: int) -> list[int]:
         fs, folder = hadoop_path(self.spark, f"{self.path}/data/v{version:08d}")
         names = [s.getPath().getName() for s in fs.listStatus(folder)]
         return [int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")]
 
-    def _stage(self, updates: DataFrame, version: int, path: str) -> tuple[DataFrame, dict[int, int]]:
+    def _stage(self, updates: DataFrame, path: str, n_buckets: int) -> tuple[DataFrame, dict[int, int]]:
         """Write the update set once; then reject repeated keys and return the key bytes per bucket."""
-        tagged = updates.withColumn(BUCKET, self._bucket(updates))
+        tagged = updates.withColumn(BUCKET, self._bucket(updates, n_buckets))
         # Rebalancing groups rows by bucket and splits a bucket that is too big for one task.
         tagged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
         staged = self.spark.read.schema(tagged.schema).parquet(path)
@@ -135,37 +164,45 @@ class Table:
         """Replace matching keys, insert the rest, delete nothing.
 
         Update keys whose measured size is small are broadcast, so the stored rows are
-        scanned and written without a shuffle. Otherwise stored and new rows meet
-        in one shuffle by bucket, which is also the layout written.
+        scanned and written without a shuffle. Otherwise stored and new rows of the touched
+        buckets meet in a shuffle by key.
         """
-        version = self._next_version()
+        version, n_buckets = self._next_version(), self.buckets
         if version == 1:
-            _, keys = self._stage(updates, version, f"{self.path}/data/v{version:08d}")
-            self._publish(version, updates.schema, {b: version for b in keys})
+            _, keys = self._stage(updates, f"{self.path}/data/v{version:08d}", n_buckets)
+            self._publish(version, updates.schema, n_buckets, {b: version for b in keys})
             return
+        published = self._published()
+        if published["keys"] != self.keys:
+            raise ValueError(f"{self.path} is keyed by {published['keys']}, not {self.keys}")
         schema, current = self._list()
-        staged, keys = self._stage(updates, version, f"{self.path}/staged/v{version:08d}")
+        # Stored types stay, or keys would hash into other buckets; new columns are added behind.
+        grown = merge_schemas(schema, updates.schema)
+        staged, keys = self._stage(conform(updates, grown), f"{self.path}/staged/v{version:08d}", n_buckets)
         if not keys:
             return
         touched = {b: v for b, v in current.items() if b in keys}
         if touched:
-            # Files of a data folder carry the bucket in their path only.
-            stored = self._read(schema, touched)
-            stored = stored.withColumn(BUCKET, self._bucket(stored))
+            # Files of a data folder carry the bucket in their path only; those without a new column give NULL.
+            stored = self._read(grown, touched)
+            stored = stored.withColumn(BUCKET, self._bucket(stored.select(*schema.names), n_buckets))
             if sum(keys.values()) <= self.broadcast_limit:
                 merged = upsert(stored, staged, self.keys, broadcast_keys=True)
             else:
-                merged = self._merge_by_bucket(stored, staged)
+                merged = self._merge_by_key(stored, staged)
         else:
             merged = staged
         self._write(merged, version)
-        self._publish(version, schema, {**current, **{b: version for b in keys}})
+        self._publish(version, grown, n_buckets, {**current, **{b: version for b in keys}})
 
-    def _merge_by_bucket(self, stored: DataFrame, staged: DataFrame) -> DataFrame:
+    def _merge_by_key(self, stored: DataFrame, staged: DataFrame) -> DataFrame:
+        """Stored and new rows meet by key, not by bucket; the write then deals big buckets over several tasks."""
         both = stored.withColumn("is_update", F.lit(False)).unionByName(staged.withColumn("is_update", F.lit(True)))
+        keyed = both.filter(~any_null(self.keys))
         newest = Window.partitionBy(BUCKET, *self.keys).orderBy(F.col("is_update").desc())
-        ranked = both.repartition(BUCKET).withColumn("row_num", F.row_number().over(newest))
-        return ranked.filter(any_null(self.keys) | (F.col("row_num") == 1)).drop("row_num", "is_update")
+        first = keyed.withColumn("row_num", F.row_number().over(newest)).filter("row_num = 1").drop("row_num")
+        merged = first.unionByName(both.filter(any_null(self.keys))).drop("is_update")
+        return merged.hint("rebalance", BUCKET)
 
     def expire(self, keep: int = 2) -> None:
         """Delete folders that none of the newest ``keep`` published lists refers to."""

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from assayflow.operators.dedup import dedup
+from assayflow.operators.schema import conform
+from assayflow.sources.paths import hadoop_path, scratch_dir
 from assayflow.sources.tables import Table
 from assayflow.streaming.ingest import start
 
@@ -16,13 +18,21 @@ def merge_batch(table: Table, batch: DataFrame, order_by: Sequence[Column], late
     """Newest version per key of the batch, merged into the table.
 
     With ``late_safe`` the stored version competes by the same order, so a late record of
-    an older version changes nothing. Merging the same batch twice changes nothing.
+    an older version changes nothing; the batch is reduced and written once, and only the
+    buckets its keys are in are read. Merging the same batch twice changes nothing, except that rows
+    with a NULL key match nothing and are added each time.
     """
     newest = dedup(batch, table.keys, order_by)
-    if late_safe and table.exists():
-        stored = table.read().join(newest.select(*table.keys), table.keys, "left_semi")
-        newest = dedup(stored.unionByName(newest), table.keys, order_by)
-    table.merge(newest)
+    if not (late_safe and table.exists()):
+        table.merge(newest)
+        return
+    spark, path = batch.sparkSession, scratch_dir(batch.sparkSession, "merge-batch")
+    newest.write.parquet(path)
+    staged = spark.read.schema(newest.schema).parquet(path)
+    stored = table.read_matching(staged)
+    table.merge(dedup(stored.unionByName(conform(staged, stored.schema)), table.keys, order_by))
+    fs, folder = hadoop_path(spark, path)
+    fs.delete(folder, True)
 
 
 def merge_stream(

@@ -66,3 +66,32 @@ def test_overwrite_and_expire(spark, tmp_path):
     assert rows(table.read()) == [(0,), (1,)]
     table.overwrite(table.read().filter("id = 1"))
     assert rows(table.read()) == [(1,)]
+
+
+def test_reopening_with_other_buckets_or_keys_is_refused(spark, tmp_path):
+    path, data = f"{tmp_path}/t", spark.range(20).withColumnRenamed("id", "k")
+    Table(spark, path, ["k"], buckets=8).merge(data)
+    with pytest.raises(ValueError, match="8 buckets"):
+        Table(spark, path, ["k"], buckets=5).merge(data)
+    with pytest.raises(ValueError, match="keyed by"):
+        Table(spark, path, ["other"]).merge(data.withColumnRenamed("k", "other"))
+    reopened = Table(spark, path, ["k"])
+    reopened.merge(data)
+    assert reopened.buckets == 8 and rows(reopened.read()) == sorted([(i,) for i in range(20)], key=str)
+
+
+@pytest.mark.parametrize("limit", [0, 100_000], ids=["shuffled", "broadcast"])
+def test_update_keys_of_another_type_match_and_new_columns_are_added(spark, tmp_path, limit):
+    table = Table(spark, f"{tmp_path}/t", ["k"], buckets=3, broadcast_limit=limit)
+    table.merge(spark.range(6).select(F.col("id").alias("k"), F.lit("old").alias("v")))
+    table.merge(spark.createDataFrame([(2, "new", 1.5), (9, "new", 2.5)], "k int, v string, w double"))
+    assert table.read().dtypes == [("k", "bigint"), ("v", "string"), ("w", "double")]
+    want = [(i, "new" if i == 2 else "old", 1.5 if i == 2 else None) for i in range(6)] + [(9, "new", 2.5)]
+    assert rows(table.read()) == sorted(want, key=str)
+
+
+def test_only_buckets_of_the_wanted_keys_are_read(spark, tmp_path):
+    table = Table(spark, f"{tmp_path}/t", ["k"], buckets=8)
+    table.merge(spark.range(100).withColumnRenamed("id", "k"))
+    found = table.read_matching(spark.createDataFrame([(5,), (None,), (500,)], "k int"))
+    assert rows(found) == [(5,)] and len(found.inputFiles()) <= 2
