@@ -9,22 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayflow.operators.flatten import flatten
+from assayflow.operators.keys import batch_key as content_key
 from assayflow.operators.keys import batch_keys, composite_key, new_records, record_hash
 from assayflow.operators.schema import union_evolving
 from assayflow.queries.base import query, table
 from assayflow.sources.landing import (
-    EXPORT_PATTERN,
     landed_files,
     object_key,
     read_landing,
     stream_landing,
+    undeclared,
     unprocessed_files,
     with_source_file,
     write_landing,
 )
 from assayflow.sources.raw import PARTITIONS, scan_raw, to_raw, write_raw
 from assayflow.sources.paths import scratch_dir
-from assayflow.streaming.ingest import batch_name, start
+from assayflow.streaming.ingest import start
 
 EVENT_DDL = "event_id bigint, ts string, user_id bigint, event_type string, value double, props struct<k: int>"
 RUN_DAY = date(2024, 2, 1)
@@ -65,21 +66,21 @@ select event_id, ts, user_id, event_type, value, cast(json_extract(props, '$.k')
 
 @query(FLAT_EVENTS)
 def ingest_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = read_landing(spark, event_schema(), land_events(spark, sf_dir), EXPORT_PATTERN)
+    landed = read_landing(spark, event_schema(), land_events(spark, sf_dir))
     return typed_ts(flatten(landed))
 
 
 @query(f"""
-select event_id, true as has_file_name, true as key_ends_with_name, date '{RUN_DAY}' as ingest_date
-from events""")
+select cast(ts as date) as run_date, true as key_ends_with_name, count(*) as n_records, date '{RUN_DAY}' as ingest_date
+from events group by all""")
 def ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = with_source_file(read_landing(spark, event_schema(), land_events(spark, sf_dir), EXPORT_PATTERN))
+    """Records per day folder of the file they came from, which must be the days of the events."""
+    landed = with_source_file(read_landing(spark, event_schema(), land_events(spark, sf_dir, by_day=True)))
     key = object_key(F.col("source_file_path"))
-    return landed.select(
-        "event_id",
-        (F.length("source_file_name") > 0).alias("has_file_name"),
-        key.endswith(F.col("source_file_name")).alias("key_ends_with_name"),
-        F.lit(RUN_DAY).alias("ingest_date"),
+    day = F.regexp_extract(key, r"run_date=(\d{4}-\d{2}-\d{2})/", 1).cast("date")
+    named = key.endswith(F.col("source_file_name")) & F.col("source_file_name").endswith(".json")
+    return landed.groupBy(day.alias("run_date"), named.alias("key_ends_with_name"), F.lit(RUN_DAY).alias("ingest_date")).agg(
+        F.count("*").alias("n_records")
     )
 
 
@@ -195,11 +196,12 @@ def batch_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_to_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, raw = land_events(spark, sf_dir), scratch_dir(spark, "raw")
-    landed = stream_landing(spark, event_schema(), landing, 4, EXPORT_PATTERN)
+    landed = stream_landing(spark, event_schema(), landing, 4)
     rows = to_raw(landed).withColumn("ingest_date", F.lit(RUN_DAY))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        write_raw(batch, raw, batch_name("events", batch_id))
+        files = [r.source_file_path for r in batch.select("source_file_path").distinct().collect()]  # at most 4
+        write_raw(batch, raw, content_key("events", files))
 
     start(rows, on_batch, scratch_dir(spark, "checkpoint"), once=True).awaitTermination()
     return scan_raw(spark, raw, T.StructType(rows.schema.fields + PARTITIONS.fields[1:]))
@@ -210,12 +212,30 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_ts(_stream_to_raw(spark, sf_dir)).select("event_id", "ts", "user_id", "event_type", "value", "k")
 
 
-@query("select distinct cast(ts as date) as run_date from events where ts >= timestamp '2024-01-16'",
+@query("""
+select cast(ts as date) as run_date, count(*) as n_records from events where ts >= timestamp '2024-01-16' group by all""",
        name="unprocessed_files")
 def unprocessed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the files still to be processed hold, per day folder."""
     landing = land_events(spark, sf_dir, by_day=True)
     day = F.regexp_extract("source_file_path", r"run_date=(\d{4}-\d{2}-\d{2})", 1).cast("date")
-    landed = with_source_file(read_landing(spark, event_schema(), landing, EXPORT_PATTERN))
+    landed = with_source_file(read_landing(spark, event_schema(), landing))
     processed = landed.filter(day < F.lit("2024-01-16").cast("date"))
-    open_files = unprocessed_files(landed_files(spark, landing, EXPORT_PATTERN), processed)
-    return open_files.select(day.alias("run_date")).distinct()
+    open_files = unprocessed_files(landed_files(spark, landing), processed).select("source_file_path")
+    rows = landed.join(open_files, "source_file_path", "left_semi")
+    return rows.groupBy(day.alias("run_date")).agg(F.count("*").alias("n_records"))
+
+
+@query("""
+select event_id, event_type, cast(cast(user_id as double) + 0.5 as double) as value, source from (
+    select event_id, event_type, user_id, case when event_id % 2 = 0 then 'kit-' || user_id end as source from events)""")
+def ingest_new_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half the records have a field that no schema declares, and all have their number as text; nothing is lost."""
+    events = table(spark, sf_dir, "events")
+    kit = F.concat(F.lit("kit-"), F.col("user_id").cast("string"))
+    half = (F.col("user_id").cast("double") + 0.5).cast("string")
+    path, declared = scratch_dir(spark, "landing"), T.StructType.fromDDL("event_id bigint, event_type string, value double")
+    plain = events.select("event_id", "event_type", half.alias("value"))
+    write_landing(plain.filter("event_id % 2 <> 0"), path)
+    write_landing(plain.join(events.select("event_id", kit.alias("source")), "event_id").filter("event_id % 2 = 0"), path)
+    return flatten(read_landing(spark, undeclared(spark, declared, path), path))

@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assayflow.sources.paths import hadoop_path
+
 FILE_PATTERN = "*.json"
-EXPORT_PATTERN = "*.txt"  # Spark's text writer names its files so
+CORRUPT = "_corrupt_record"
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 METADATA_COLUMNS = ("source_file_name", "source_file_path")
 
 
@@ -32,16 +35,50 @@ def _options(pattern: str) -> dict:
     return {"multiLine": True, "pathGlobFilter": pattern, "recursiveFileLookup": True}
 
 
+def _as_text(kind: T.DataType) -> T.DataType:
+    """The same shape with every leaf read as the text it is in the file."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    return T.StringType()
+
+
+def _typed(landed: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text leaves in the declared types; text that is no such value fails (ANSI mode), it is never lost."""
+    rest = [c for c in landed.columns if c not in schema.names]
+    return landed.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields), *rest)
+
+
 def read_landing(
-    spark: SparkSession, schema: T.StructType, paths: str | Sequence[str], pattern: str = FILE_PATTERN
+    spark: SparkSession,
+    schema: T.StructType,
+    paths: str | Sequence[str],
+    pattern: str = FILE_PATTERN,
+    quarantine: bool = False,
 ) -> DataFrame:
     """Files holding one JSON array each, one row per array element.
 
     All paths go into one read, hence one job. A file is parsed by one task,
-    so land many moderate files rather than one huge one.
+    so land many moderate files rather than one huge one. A file that is no JSON fails the
+    read; with ``quarantine`` its content becomes a row in the column ``_corrupt_record``, for
+    `split_corrupt` to take out. A number written as text is read as the number.
     """
-    reader = spark.read.schema(schema).options(**_options(pattern))
-    return reader.json(paths if isinstance(paths, str) else list(paths))
+    text = _as_text(schema)
+    reader = spark.read.options(**_options(pattern))
+    if quarantine:
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).schema(text.add(CORRUPT, T.StringType()))
+    else:
+        reader = reader.option("mode", "FAILFAST").schema(text)
+    return _typed(reader.json(paths if isinstance(paths, str) else list(paths)), schema)
+
+
+def split_corrupt(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Good records; and of what could not be parsed the content, what was parsed of it, and the file. From a read with ``quarantine``."""
+    fields = [c for c in landed.columns if c != CORRUPT]
+    parsed = F.to_json(F.struct(*fields)).alias("parsed")
+    bad = with_source_file(landed).filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, parsed, *METADATA_COLUMNS)
+    return landed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
 
 
 def stream_landing(
@@ -52,8 +89,40 @@ def stream_landing(
     pattern: str = FILE_PATTERN,
 ) -> DataFrame:
     """The same as a stream: each new file is read once, known files come from the checkpoint."""
-    reader = spark.readStream.schema(schema).options(**_options(pattern))
-    return reader.option("maxFilesPerTrigger", max_files_per_trigger).json(path)
+    reader = spark.readStream.schema(_as_text(schema)).options(mode="FAILFAST", **_options(pattern))
+    return _typed(reader.option("maxFilesPerTrigger", max_files_per_trigger).json(path), schema)
+
+
+def stream_files(spark: SparkSession, path: str, max_files_per_trigger: int = 1000, pattern: str = FILE_PATTERN) -> DataFrame:
+    """Paths of new landed files as a stream, without their content."""
+    reader = spark.readStream.format("binaryFile").schema(LISTING).options(pathGlobFilter=pattern, recursiveFileLookup=True)
+    return reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path).select(F.col("_metadata.file_path").alias("source_file_path"))
+
+
+def undeclared(
+    spark: SparkSession,
+    schema: T.StructType,
+    paths: str | Sequence[str],
+    pattern: str = FILE_PATTERN,
+    quarantine: bool = False,
+) -> T.StructType:
+    """The declared schema with the fields the files have beyond it, as text, behind those of their object.
+
+    Reads the files once more, for their field names only.
+    """
+    mode = "DROPMALFORMED" if quarantine else "FAILFAST"
+    reader = spark.read.options(mode=mode, primitivesAsString=True, **_options(pattern))
+    return _grown(schema, reader.json(paths if isinstance(paths, str) else list(paths)).schema)
+
+
+def _grown(declared: T.DataType, found: T.DataType) -> T.DataType:
+    if isinstance(declared, T.StructType) and isinstance(found, T.StructType):
+        have = {f.name: f.dataType for f in found.fields}
+        own = [T.StructField(f.name, _grown(f.dataType, have.get(f.name))) for f in declared.fields]
+        return T.StructType(own + [T.StructField(n, _as_text(k)) for n, k in have.items() if n not in declared.names])
+    if isinstance(declared, T.ArrayType) and isinstance(found, T.ArrayType):
+        return T.ArrayType(_grown(declared.elementType, found.elementType))
+    return declared
 
 
 def _arrays(partition_columns: Sequence[str]):
@@ -70,13 +139,20 @@ def _arrays(partition_columns: Sequence[str]):
 def write_landing(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write each Arrow batch as a JSON array file; memory is bounded by the batch size.
 
-    ``partition_by`` columns become directories and are left out of the records.
+    ``partition_by`` columns become directories and are left out of the records. The files get the
+    ending that the readers look for once all are written.
     """
     fields = [c for c in df.columns if c not in partition_by]
     record = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value")
     rows = df.select(*(F.col(c).cast("string").alias(c) for c in partition_by), record)
     writer = rows.mapInPandas(_arrays(partition_by), rows.schema).write.option("maxRecordsPerFile", 1)
     writer.partitionBy(*partition_by).mode("append").format("text").option("compression", "none").save(path)
+    fs, folder = hadoop_path(df.sparkSession, path)
+    files = fs.listFiles(folder, True)
+    while files.hasNext():
+        written = files.next().getPath()
+        if written.getName().startswith("part-") and written.getName().endswith(".txt"):
+            fs.rename(written, hadoop_path(df.sparkSession, str(written.toString())[: -len("txt")] + "json")[1])
 
 
 def landed_files(spark: SparkSession, path: str, pattern: str = FILE_PATTERN) -> DataFrame:

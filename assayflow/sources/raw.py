@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,29 +11,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assayflow.operators.flatten import flatten
-from assayflow.operators.keys import batch_key, new_records, record_hash
-from assayflow.operators.schema import conform
-from assayflow.sources.landing import METADATA_COLUMNS, read_landing, with_source_file
-from assayflow.sources.paths import path_exists
+from assayflow.operators.keys import HASH_DIGITS, batch_key, new_records, record_digest
+from assayflow.operators.schema import conform, merge_schemas, schema_changes
+from assayflow.sources.landing import METADATA_COLUMNS, read_landing, split_corrupt, undeclared, with_source_file
+from assayflow.sources.paths import hadoop_path, path_exists
 from assayflow.sources.registry import Dataset
+from assayflow.sources.tables import BROADCAST_LIMIT, ROW_OVERHEAD
 
+log = logging.getLogger(__name__)
 PARTITIONS = T.StructType([T.StructField("ingest_date", T.DateType()), T.StructField("source_batch", T.StringType())])
 
 
-RECORD_HASH = "record_hash"
+RECORD_HASH, RECORD_DIGEST = "record_hash", "record_digest"
 
 
 def to_raw(landed: DataFrame, on_collision: str = "last_wins", arrays: str = "last_element") -> DataFrame:
-    """Flat records with the file they came from and the hash of the landed record."""
-    tagged = with_source_file(landed).withColumn(RECORD_HASH, record_hash(landed))
-    return flatten(tagged.select(*landed.columns, *METADATA_COLUMNS, RECORD_HASH), on_collision, arrays)
+    """Flat records with the file they came from, the digest of the landed record and its short form."""
+    tagged = with_source_file(landed).withColumn(RECORD_DIGEST, record_digest(landed))
+    tagged = tagged.withColumn(RECORD_HASH, F.substring(RECORD_DIGEST, 1, HASH_DIGITS))
+    return flatten(tagged.select(*landed.columns, *METADATA_COLUMNS, RECORD_HASH, RECORD_DIGEST), on_collision, arrays)
 
 
 def raw_schema(spark: SparkSession, ds: Dataset, arrays: str) -> T.StructType:
     """Columns of the raw table: the flattened landing schema, file metadata, partitions."""
     empty = spark.createDataFrame([], ds.landing_schema)
     schema = flatten(empty, arrays=arrays).schema
-    for name in (*METADATA_COLUMNS, RECORD_HASH):
+    for name in (*METADATA_COLUMNS, RECORD_HASH, RECORD_DIGEST):
         schema = schema.add(name, T.StringType())
     return T.StructType(schema.fields + PARTITIONS.fields)
 
@@ -59,21 +64,40 @@ def scan_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def stored_schema(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
+    """The declared schema and what undeclared columns stored files have besides; opens every file's footer."""
+    return merge_schemas(schema, spark.read.option("mergeSchema", True).parquet(path).schema)
+
+
+def stored_day(spark: SparkSession, path: str, batch: str) -> date | None:
+    """The ingest day under which a batch is stored already."""
+    fs, pattern = hadoop_path(spark, f"{path}/ingest_date=*/source_batch={batch}")
+    found = fs.globStatus(pattern) or []
+    days = [str(s.getPath().getParent().getName()).split("=")[1] for s in found]
+    return date.fromisoformat(min(days)) if days else None
+
+
 def add_batch(
     spark: SparkSession, ds: Dataset, rows: DataFrame, root: str, batch: str, arrays: str, skip_stored: bool = False
 ) -> None:
-    """Write one batch of raw rows under the declared schema.
+    """Write one batch of raw rows under the declared schema, undeclared columns behind it.
 
-    With ``skip_stored`` records whose key and hash came with another batch, or
+    With ``skip_stored`` records whose key and digest came with another batch, or
     occur twice in this one, are left out; the stored rows are read for these two columns only.
     """
     schema, path = raw_schema(spark, ds, arrays), ds.raw_path(root)
-    rows = conform(rows, T.StructType(schema.fields[:-1]))
+    changes = schema_changes(rows, T.StructType(schema.fields[:-1]))
+    if changes["added"]:
+        log.warning("%s: undeclared columns %s", ds.name, changes["added"])
+    rows = conform(rows, merge_schemas(T.StructType(schema.fields[:-1]), rows.schema))
+    keys = (ds.key, RECORD_DIGEST)
     if skip_stored and path_exists(spark, path):
         stored = scan_raw(spark, path, schema).filter(F.col("source_batch") != batch)
-        rows = new_records(rows, stored, (ds.key, RECORD_HASH)).select(*rows.columns)
+        size = F.sum(F.octet_length(F.concat_ws("", *(F.col(k).cast("string") for k in keys))) + ROW_OVERHEAD)
+        small = (rows.agg(size).head()[0] or 0) <= BROADCAST_LIMIT
+        rows = new_records(rows, stored, keys, broadcast_keys=small).select(*rows.columns)
     elif skip_stored:
-        rows = rows.dropDuplicates([ds.key, RECORD_HASH])
+        rows = rows.dropDuplicates(list(keys))
     write_raw(rows, path, batch)
 
 
@@ -85,9 +109,21 @@ def ingest_files(
     ingest_date: date,
     arrays: str,
     skip_stored: bool = False,
+    quarantine: bool = False,
+    names: Sequence[str] | None = None,
 ) -> str:
-    """Read the listed files in one job and add them to the raw table; returns the batch key."""
-    key = batch_key(ds.name, paths)
-    flat = to_raw(read_landing(spark, ds.landing_schema, paths), arrays=arrays)
-    add_batch(spark, ds, flat.withColumn("ingest_date", F.lit(ingest_date)), root, key, arrays, skip_stored)
+    """Read the listed files in one job and add them to the raw table; returns the batch key.
+
+    The key is made of the files' ``names``, by default their paths. Files that were ingested together before, on whatever day, replace
+    what they gave then. A file that is no JSON fails the batch, or with ``quarantine`` goes
+    to ``quarantine/<dataset>`` under the root, never into the raw table.
+    """
+    key = batch_key(ds.name, paths if names is None else names)
+    day = stored_day(spark, ds.raw_path(root), key) or ingest_date
+    landed = read_landing(spark, undeclared(spark, ds.landing_schema, paths, quarantine=quarantine), paths, quarantine=quarantine)
+    if quarantine:
+        landed, bad = split_corrupt(landed)
+        write_raw(bad.withColumn("ingest_date", F.lit(day)), f"{root}/quarantine/{ds.name}", key)
+    flat = to_raw(landed, arrays=arrays)
+    add_batch(spark, ds, flat.withColumn("ingest_date", F.lit(day)), root, key, arrays, skip_stored)
     return key

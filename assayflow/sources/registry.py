@@ -52,7 +52,7 @@ _SCREENING_RESULTS = """
     antibody_humanized boolean, assay_category string, assay_name string,
     endpoint_name string, endpoint_unit string, endpoint_value double,
     treatment_concentration double, treatment_concentration_unit string, control_type string,
-    replicate_number int, replicates_expected int, measurement_timepoint_hours int,
+    replicate_number int, replicates_expected int, measurement_timepoint_hours double,
     instrument_name string, qc_flag string
 """
 

@@ -3,23 +3,20 @@
 from __future__ import annotations
 
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from assayflow.operators.keys import batch_keys
-from assayflow.sources.landing import FILE_PATTERN, stream_landing
-from assayflow.sources.raw import add_batch, to_raw
+from assayflow.sources.landing import FILE_PATTERN, stream_files
+from assayflow.sources.raw import ingest_files
 from assayflow.sources.registry import Dataset
 
 POLL_SECONDS = 300
 
 
-def batch_name(stream: str, batch_id: int) -> str:
-    return f"{stream}-{batch_id:010d}"
-
-
 def start(df: DataFrame, on_batch, checkpoint: str, once: bool) -> StreamingQuery:
     """Run ``on_batch`` for what is there now (``once``) or poll for new files for ever."""
     trigger = {"availableNow": True} if once else {"processingTime": f"{POLL_SECONDS} seconds"}
@@ -39,19 +36,21 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Add every new landed file to the raw table, exactly once.
 
-    The checkpoint knows the files already read and advances after a batch has been
-    written. A batch that runs again overwrites its own partition. The ingest
-    day is the day the batch was first planned, also on a rerun, because the
-    stream fixes its clock per batch.
+    The stream carries the paths of new files; each batch of them, at most
+    ``max_files_per_trigger``, is read as `ingest_files` does and named by its content. The
+    checkpoint advances after a batch has been written. A batch that runs again, also from a
+    fresh checkpoint or on a later day, replaces its own rows.
     """
-    landed = stream_landing(spark, ds.landing_schema, ds.landing_path(root), max_files_per_trigger, pattern)
-    day = F.current_date() if ingest_date is None else F.lit(ingest_date)
-    flat = to_raw(landed, arrays=arrays).withColumn("ingest_date", day)
+    files = stream_files(spark, ds.landing_path(root), max_files_per_trigger, pattern)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        add_batch(batch.sparkSession, ds, batch, root, batch_name(ds.name, batch_id), arrays, skip_stored)
+        rows = batch.select("source_file_path", F.current_date().alias("day")).collect()
+        if rows:
+            names = sorted(r.source_file_path for r in rows)
+            paths = [unquote(name) for name in names]
+            ingest_files(batch.sparkSession, ds, paths, root, ingest_date or rows[0].day, arrays, skip_stored, names=names)
 
-    return start(flat, on_batch, f"{root}/checkpoints/raw-{ds.name}", once)
+    return start(files, on_batch, f"{root}/checkpoints/raw-{ds.name}", once)
 
 
 def batch_lineage(raw: DataFrame, dataset_name: str) -> DataFrame:

@@ -3,6 +3,8 @@
 import json
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from assayflow.plans.pipeline import Pipeline
@@ -10,7 +12,7 @@ from assayflow.sources.landing import landed_files, unprocessed_files
 from assayflow.sources.raw import write_raw
 from assayflow.sources.registry import DATASETS
 from assayflow.sources.tables import Table
-from assayflow.streaming.ingest import ingest_stream
+from assayflow.streaming.ingest import batch_lineage, ingest_stream
 from assayflow.streaming.merge import merge_batch, merge_stream
 from tests.lab_fixture import D1, D2, ingest, land
 
@@ -23,13 +25,14 @@ def run(spark, root, day=None):
 
 def test_new_files_only_and_skip_when_nothing_is_new(spark, tmp_path):
     land(tmp_path, D1)
-    assert run(spark, tmp_path, D1) == [4]
+    assert run(spark, tmp_path, D1) == [1]
     assert run(spark, tmp_path, D1) == []
     land(tmp_path, D2)
     assert run(spark, tmp_path, D2) == [1]
     raw = Pipeline(spark, str(tmp_path)).raw("experiments")
     assert raw.count() == 5
-    assert {r.source_batch for r in raw.collect()} == {"experiments-0000000000", "experiments-0000000001"}
+    lineage = batch_lineage(raw, "experiments").collect()
+    assert len(lineage) == 2 and all(r.source_batch == r.batch_key for r in lineage)
     assert {r.source_file_name for r in raw.collect()} == {"06-00-00.json"}
 
 
@@ -104,3 +107,45 @@ def test_stored_records_are_skipped_on_request(spark, tmp_path):
     assert raw().count() == 5 and raw().select("record_hash").distinct().count() == 5
     ingest_files(spark, ds, [str(again)], str(tmp_path), D2, "last_element")
     assert raw().count() == 9
+
+
+def test_fresh_checkpoint_keeps_other_files_and_reruns_change_nothing(spark, tmp_path):
+    count = lambda: Pipeline(spark, str(tmp_path)).raw("experiments").count()
+    land(tmp_path, D1)
+    run(spark, tmp_path, D1)
+    (tmp_path / "checkpoints").rename(tmp_path / "lost-1")
+    land(tmp_path, D2)
+    run(spark, tmp_path, D1)  # both files once more, in one batch of another content
+    assert count() == 4 + 5
+    (tmp_path / "checkpoints").rename(tmp_path / "lost-2")
+    run(spark, tmp_path, D2)  # the same batch on a later day
+    assert count() == 4 + 5
+
+
+def test_bad_files_fail_or_go_to_quarantine(spark, tmp_path):
+    from assayflow.sources.raw import ingest_files
+
+    good = land(tmp_path, D1)["experiments"][0]
+    bad = tmp_path / "bad.json"
+    bad.write_text(open(good).read()[:-40])
+    ds = DATASETS["experiments"]
+    with pytest.raises(Exception, match="(?i)malformed|FAILED_READ|parse"):
+        ingest_files(spark, ds, [good, str(bad)], str(tmp_path), D1, "last_element")
+    ingest_files(spark, ds, [good, str(bad)], str(tmp_path), D1, "last_element", quarantine=True)
+    raw = Pipeline(spark, str(tmp_path)).raw("experiments")
+    assert raw.filter("id is null").count() == 0 and {r.source_file_name for r in raw.collect()} >= {good.rsplit("/", 1)[1]}
+    kept = spark.read.parquet(f"{tmp_path}/quarantine/experiments").collect()
+    assert kept and {r.source_file_name for r in kept} == {"bad.json"}
+
+
+def test_a_change_in_an_undeclared_field_is_kept(spark, tmp_path):
+    from assayflow.sources.raw import ingest_files, raw_schema, scan_raw, stored_schema
+
+    ds = DATASETS["stocks"]
+    for name, grade in (("a", None), ("b", "x"), ("c", "y"), ("d", "y")):
+        record = {"id": "K1", "sample_id": "A1", "quantity": "12.5"} | ({"grade": grade} if grade else {})
+        (tmp_path / f"{name}.json").write_text(json.dumps([record]))
+        ingest_files(spark, ds, [f"{tmp_path}/{name}.json"], str(tmp_path), D1, "last_element", skip_stored=True)
+    path = ds.raw_path(str(tmp_path))
+    rows = scan_raw(spark, path, stored_schema(spark, path, raw_schema(spark, ds, "last_element"))).collect()
+    assert sorted((r.quantity, r.grade or "") for r in rows) == [(12.5, ""), (12.5, "x"), (12.5, "y")]
