@@ -92,8 +92,11 @@ def _masks(n_bits: int, blocks: int, agree: int) -> np.ndarray:
     return np.packbits(np.array(chosen), axis=1).view(">u8").astype(np.uint64)
 
 
-def block_keys(reps: DataFrame, n_bits: int, blocks: int, agree: int) -> DataFrame:
-    """Every fingerprint under each of its keys: key, rep, fp. Keys are hashes; what meets by chance is verified away."""
+def block_keys(reps: DataFrame, n_bits: int, blocks: int, agree: int, alone: bool = False) -> DataFrame:
+    """Every fingerprint under each of its keys: key, rep, fp, or the key `alone`.
+
+    Keys are hashes; what meets by chance is verified away.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = _masks(n_bits, blocks, agree)
@@ -106,9 +109,10 @@ def block_keys(reps: DataFrame, n_bits: int, blocks: int, agree: int) -> DataFra
                 for i in np.flatnonzero(mask):
                     key = (key ^ (values[:, i] & mask[i])) * np.uint64(0x9E3779B97F4A7C15)
                     key ^= key >> np.uint64(29)
-                yield pa.record_batch([pa.array(key.view(np.int64)), batch.column(0), batch.column(1)], ["key", "rep", "fp"])
+                columns = [pa.array(key.view(np.int64)), batch.column(0), batch.column(1)]
+                yield pa.record_batch(columns[:1] if alone else columns, ["key"] if alone else ["key", "rep", "fp"])
 
-    return reps.select("rep", "fp").mapInArrow(run, "key long, rep long, fp binary")
+    return reps.select("rep", "fp").mapInArrow(run, "key long" if alone else "key long, rep long, fp binary")
 
 
 def _words(column, n_bits: int) -> np.ndarray:
@@ -196,8 +200,8 @@ def links(reps: DataFrame, n_bits: int, blocks: int, agree: int, max_bits: int,
     """
     keyed = block_keys(reps, n_bits, blocks, agree).withColumn("sub", F.lit(0).cast("long"))
     if reps.count() > piece:
-        keyed, _ = staged(keyed, "simhash-keys")
-        hot = keyed.groupBy(F.col("key").alias("of")).agg(F.count("*").alias("n")).where(F.col("n") > piece)
+        # Keys are computed again rather than kept: they take many times the room of the fingerprints.
+        hot = block_keys(reps, n_bits, blocks, agree, alone=True).groupBy(F.col("key").alias("of")).agg(F.count("*").alias("n")).where(F.col("n") > piece)
         hot, _ = staged(hot.select("of", F.ceil(F.col("n") * 2 / piece).alias("pieces")), "simhash-hot")
         if not hot.isEmpty():
             own = F.pmod(F.xxhash64("rep"), F.col("pieces"))
