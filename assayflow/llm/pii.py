@@ -320,10 +320,16 @@ def training_examples(texts: list[str], seed: int) -> list[tuple[str, set[Span]]
 
 
 def fit(docs: DataFrame) -> Field:
-    """A field from up to FIT_DOCS documents with digits or @, of up to FIT_CHARS characters; the choice depends on their text alone."""
-    short = docs.select("text").where((F.length("text") <= FIT_CHARS) & F.col("text").rlike("[0-9@]"))
-    rows = short.orderBy(F.xxhash64("text"), "text").limit(FIT_DOCS).collect()
-    return Field.fit([r.text for r in rows])
+    """A field from up to FIT_DOCS different texts with digits or @, of up to FIT_CHARS characters; the choice depends on the texts alone.
+
+    The hashes that are chosen come first, so that only the chosen texts leave their tasks.
+    """
+    short = docs.select("text", F.xxhash64("text").alias("draw")).where((F.length("text") <= FIT_CHARS) & F.col("text").rlike("[0-9@]"))
+    draws = [r.draw for r in short.select("draw").distinct().orderBy("draw").limit(FIT_DOCS).collect()]
+    if not draws:
+        return Field.fit([])
+    chosen = short.where(F.col("draw") <= draws[-1]).groupBy("draw").agg(F.min("text").alias("text"))
+    return Field.fit([r.text for r in sorted(chosen.collect())])
 
 
 def _listed(spans: list[Span]) -> str:
