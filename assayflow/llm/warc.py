@@ -26,6 +26,8 @@ from assayflow.sources.paths import scratch_dir
 
 ARCHIVE_BYTES = 256 << 20
 RANGE_BYTES = 4 << 20
+#: A task reads about so much.
+TASK_BYTES = 256 << 20
 GAP_BYTES = 64 << 10
 GZIP_LEVEL = 3
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -203,7 +205,13 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = True) -> Da
     payload_bytes and payload_digest are of the record's own payload, which a revisit has
     not; `header_digest` is the one its header states. Damaged records raise.
     """
-    return plan_ranges(index).mapInArrow(_reader(folder, with_payload), RECORDS)
+    # Rows of ranges are small whatever they stand for, so their number decides on the tasks, not their size.
+    spark = index.sparkSession
+    wanted = index.agg(F.sum("length")).head()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-wanted // TASK_BYTES))
+    # By a hash of the range, as a shuffle by the range itself would be merged with that of the grouping.
+    ranges = plan_ranges(index).repartition(tasks, F.xxhash64("archive", "first"))
+    return ranges.mapInArrow(_reader(folder, with_payload), RECORDS)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
