@@ -43,8 +43,15 @@ def unit_vectors(embeddings: DataFrame) -> DataFrame:
 
 
 def principal_axes(vectors: DataFrame) -> np.ndarray:
-    """The leading principal axes of a sample of at most SAMPLE vectors, as columns; the sample depends on rep alone."""
-    rows = vectors.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("vec").collect()
+    """The leading principal axes of a sample of at most SAMPLE vectors, as columns; the sample depends on the vectors alone.
+
+    Their hashes are chosen first, so that only chosen vectors leave their tasks.
+    """
+    drawn = vectors.select("vec", F.xxhash64("vec").alias("draw"))
+    draws = [r.draw for r in drawn.select("draw").orderBy("draw").limit(SAMPLE).collect()]
+    # At most SAMPLE and those that share the last hash; vectors are different.
+    rows = drawn.where(F.col("draw") <= draws[-1]).select("draw", "vec").collect() if draws else []
+    rows.sort()
     size = max((len(r.vec) for r in rows), default=1)
     x = np.zeros((len(rows), size))
     for i, r in enumerate(rows):
