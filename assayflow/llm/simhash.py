@@ -7,10 +7,13 @@ each choice of that many parts gives; only fingerprints under one key are compar
 key is likely rather than certain; see `near_duplicates`.) Under a key, fingerprints are
 verified by Hamming distance and united in the task; what leaves it is about one link per
 fingerprint, never a pair for each two members of a group.
+
+`keep_first` takes such links for candidates only and holds the texts' sets of shingles against each other.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -20,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assayflow.llm import similar_sets
 from assayflow.llm.common import staged, whole_text
 from assayflow.llm.components import connected_components
 
@@ -43,14 +47,11 @@ def _widen(hashes: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def fingerprint(text: bytes, width: int, words_out: int = 1) -> bytes:
-    """The SimHash of UTF-8 bytes over shingles of `width` words, repeats included: 8 bytes per word, big-endian.
-
-    A text of fewer words is one shingle; without words all bits are zero.
-    """
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """A 64-bit hash of each shingle of `width` words of UTF-8 bytes; a text of fewer words is one shingle."""
     words = text.lower().split()  # of bytes: A-Z alone, and the six ASCII white-space characters
     if not words:
-        return bytes(8 * words_out)
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     if len(words) <= width:
         starts, ends = [0], [len(joined)]
@@ -58,16 +59,28 @@ def fingerprint(text: bytes, width: int, words_out: int = 1) -> bytes:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         last = np.cumsum(lengths + 1) - 1
         starts, ends = (last - lengths)[: 1 - width].tolist(), last[width - 1 :].tolist()
-    counts = np.zeros(64 * words_out, np.int64)
     digest = xxhash.xxh64_digest
-    for at in range(0, len(starts), CHUNK):
-        data = b"".join([digest(joined[s:e], 42) for s, e in zip(starts[at : at + CHUNK], ends[at : at + CHUNK])])
-        if words_out > 1:
-            data = _widen(np.frombuffer(data, ">u8").astype(np.uint64), words_out).astype(">u8").tobytes()
+    data = b"".join([digest(joined[s:e], 42) for s, e in zip(starts, ends)])
+    return np.frombuffer(data, ">u8").astype(np.uint64)
+
+
+def majority(hashes: np.ndarray, words_out: int) -> bytes:
+    """The bits that more than half of the hashes have, 8 bytes per word, big-endian."""
+    counts = np.zeros(64 * words_out, np.int64)
+    for at in range(0, len(hashes), CHUNK):
+        data = _widen(hashes[at : at + CHUNK], words_out).astype(">u8").tobytes()
         bits = np.unpackbits(np.frombuffer(data, np.uint8).reshape(-1, 8 * words_out), axis=1)
         for row in range(0, len(bits), ROWS):
             counts += np.add.reduce(bits[row : row + ROWS], axis=0, dtype=np.uint8)
-    return np.packbits(2 * counts > len(starts)).tobytes()
+    return np.packbits(2 * counts > len(hashes)).tobytes()
+
+
+def fingerprint(text: bytes, width: int, words_out: int = 1) -> bytes:
+    """The SimHash of UTF-8 bytes over shingles of `width` words, repeats included: 8 bytes per word, big-endian.
+
+    A text of fewer words is one shingle; without words all bits are zero.
+    """
+    return majority(shingle_hashes(text, width), words_out)
 
 
 def fingerprints(docs: DataFrame, width: int = 4, words_out: int = 1) -> DataFrame:
@@ -92,11 +105,12 @@ def _masks(n_bits: int, blocks: int, agree: int) -> np.ndarray:
     return np.packbits(np.array(chosen), axis=1).view(">u8").astype(np.uint64)
 
 
-def block_keys(reps: DataFrame, n_bits: int, blocks: int, agree: int, alone: bool = False) -> DataFrame:
-    """Every fingerprint under each of its keys: key, rep, fp, or the key `alone`.
+def block_keys(reps: DataFrame, n_bits: int, blocks: int, agree: int, alone: bool = False, carried: int | None = None) -> DataFrame:
+    """Every fingerprint under each of its keys: key, rep, fp, or the key `alone`; of fp the first `carried` words.
 
-    Keys are hashes; what meets by chance is verified away.
+    Keys are hashes; what meets by chance is verified away. A column `prefix` holds further keys, 8 bytes each.
     """
+    further = ["prefix"] if "prefix" in reps.columns else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = _masks(n_bits, blocks, agree)
@@ -104,15 +118,23 @@ def block_keys(reps: DataFrame, n_bits: int, blocks: int, agree: int, alone: boo
             if not batch.num_rows:
                 continue
             values = _words(batch.column(1), n_bits)
+            reps, prints = batch.column(0), batch.column(1)
+            if carried:
+                prints = pa.array([fp.as_py()[: 8 * carried] for fp in prints], pa.binary())
+            if further:
+                own = [np.frombuffer(p.as_py(), np.int64) for p in batch.column(2)]
+                of = pa.array(np.repeat(np.arange(len(own)), [len(p) for p in own]))
+                columns = [pa.array(np.concatenate(own)), reps.take(of), prints.take(of)]
+                yield pa.record_batch(columns[:1] if alone else columns, ["key"] if alone else ["key", "rep", "fp"])
             for number, mask in enumerate(masks):
                 key = np.full(len(values), number + 1, np.uint64)
                 for i in np.flatnonzero(mask):
                     key = (key ^ (values[:, i] & mask[i])) * np.uint64(0x9E3779B97F4A7C15)
                     key ^= key >> np.uint64(29)
-                columns = [pa.array(key.view(np.int64)), batch.column(0), batch.column(1)]
+                columns = [pa.array(key.view(np.int64)), reps, prints]
                 yield pa.record_batch(columns[:1] if alone else columns, ["key"] if alone else ["key", "rep", "fp"])
 
-    return reps.select("rep", "fp").mapInArrow(run, "key long" if alone else "key long, rep long, fp binary")
+    return reps.select("rep", "fp", *further).mapInArrow(run, "key long" if alone else "key long, rep long, fp binary")
 
 
 def _words(column, n_bits: int) -> np.ndarray:
@@ -192,13 +214,16 @@ def _verify(n_bits: int, max_bits: int):
     return run
 
 
-def links(reps: DataFrame, n_bits: int, blocks: int, agree: int, max_bits: int, piece: int = PIECE) -> DataFrame:
+def links(
+    reps: DataFrame, n_bits: int, blocks: int, agree: int, max_bits: int, piece: int = PIECE, carried: int | None = None
+) -> DataFrame:
     """a, b: links between fingerprints' reps that connect all within `max_bits` of each other that share a key.
 
-    `reps` has rep, fp, one row per fingerprint. The rows of a key that has more than
+    `reps` has rep, fp, one row per fingerprint, and may have a `prefix` of further keys. With `carried`, fingerprints
+    are compared by as many of their words, which is all of them that travels with the keys. The rows of a key that has more than
     `piece` are dealt into pieces, and each two pieces go to a task of their own.
     """
-    keyed = block_keys(reps, n_bits, blocks, agree).withColumn("sub", F.lit(0).cast("long"))
+    keyed = block_keys(reps, n_bits, blocks, agree, carried=carried).withColumn("sub", F.lit(0).cast("long"))
     if reps.count() > piece:
         # Keys are computed again rather than kept: they take many times the room of the fingerprints.
         hot = block_keys(reps, n_bits, blocks, agree, alone=True).groupBy(F.col("key").alias("of")).agg(F.count("*").alias("n")).where(F.col("n") > piece)
@@ -213,7 +238,7 @@ def links(reps: DataFrame, n_bits: int, blocks: int, agree: int, max_bits: int,
             )
             keyed = keyed.join(hot, F.col("key") == F.col("of"), "left").withColumn("sub", F.explode(pairs))
     dealt = keyed.select("key", "sub", "rep", "fp").repartition("key", "sub").sortWithinPartitions("key", "sub")
-    return dealt.mapInArrow(_verify(n_bits, max_bits), "a long, b long")
+    return dealt.mapInArrow(_verify(64 * carried if carried else n_bits, max_bits), "a long, b long")
 
 
 def near_duplicates(
@@ -227,7 +252,7 @@ def near_duplicates(
     their fingerprint, NULL if no row with that fingerprint has an id. No rows give no rows.
 
     The defaults find every link: fingerprints that differ in at most blocks - agree bits share a
-    key for certain. `SIMILAR` gives long fingerprints for a looser similarity.
+    key for certain.
     """
     prints, _ = staged(fingerprints(docs, width, n_bits // 64), "simhash-prints")
     reps, _ = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-reps")
@@ -239,23 +264,82 @@ def near_duplicates(
     return prints.join(components, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
 
 
-#: Five-word shingles and a similarity of 0.8. Texts that share a part s of their shingles
-#: (intersection by union) have an angle of acos(2 s / (1 + s)) between them, for s = 0.8 0.1515 of
-#: a half turn, and so differ in about that part of the bits: 77 of 512. Two such
-#: fingerprints share one of 32 blocks of 16 bits with a probability of 0.92 at s = 0.8, 0.97 at
-#: 0.85, 0.998 at 0.9; those that differ in fewer than 32 bits share one for certain.
-SIMILAR = {"width": 5, "n_bits": 512, "blocks": 32, "agree": 1, "max_bits": 77}
+#: Five-word shingles and a similarity (intersection by union of the sets) of 0.8, which is checked exactly; the rest
+#: decides which texts are candidates. Texts of a similarity s have an angle of at most acos(2 s / (1 + s)) between them, for s = 0.8
+#: 0.1515 of a half turn, and differ in about that part of the bits. They share one of 64 blocks of 16 bits with a
+#: probability of 0.9917, and differ in 29 of the 192 bits that are compared, deviation 5; 58 are let pass, of 96 that
+#: texts without a common shingle differ in.
+SIMILAR = {"width": 5, "n_bits": 1024, "blocks": 64, "agree": 1, "carried": 3, "max_bits": 58}
+LEAST = 0.8
+#: Bits of a few shingles stray: sets of up to so many also meet under their smallest hashes, which finds all pairs of them.
+SHORT = 80
+
+
+def _prefix(hashes: np.ndarray, least: float) -> np.ndarray:
+    """Of sorted hashes so many that two sets of a similarity of at least `least` share one."""
+    return hashes[: len(hashes) - math.ceil(least * len(hashes) - 1e-9) + 1] if len(hashes) <= SHORT else hashes[:0]
+
+
+def _sets(docs: DataFrame, width: int, words_out: int, least: float) -> DataFrame:
+    """doc_id, text_hash, digest, n, fp, prefix: of each text's set of shingles a digest, its size and its fingerprint."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(text.as_py(), width)) for text in batch.column(2)]
+            digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            prints, prefixes = [majority(s, words_out) for s in sets], [_prefix(s, least).tobytes() for s in sets]
+            columns = [pa.array(digests, pa.binary()), pa.array(map(len, sets), pa.int64()), pa.array(prints, pa.binary()), pa.array(prefixes, pa.binary())]
+            yield pa.record_batch([batch.column(0), batch.column(1), *columns], ["doc_id", "text_hash", "digest", "n", "fp", "prefix"])
+
+    rows = docs.select("doc_id", "text_hash", F.col("text").cast("binary"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, digest binary, n long, fp binary, prefix binary")
+
+
+def _set_data(texts: DataFrame, width: int):
+    """root, node, n, data of members, from their texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = [np.unique(shingle_hashes(text.as_py(), width)).tobytes() for text in batch.column(3)]
+            yield pa.record_batch([*batch.columns[:3], pa.array(data, pa.binary())], ["root", "node", "n", "data"])
+
+    def sets(members: DataFrame) -> DataFrame:
+        different = texts.dropDuplicates(["doc_id", "text_hash"])
+        rows = members.join(different, ["doc_id", "text_hash"]).select("root", "node", "n", F.col("text").cast("binary"))
+        return rows.mapInArrow(run, "root long, node long, n long, data binary")
+
+    return sets
+
+
+def similar_texts(texts: DataFrame, least: float = LEAST, **parameters) -> DataFrame:
+    """doc_id, text_hash: of each component of similar texts the smallest.
+
+    `texts` has doc_id, text_hash and text, none of them NULL. Texts with equal sets of shingles are one; others are linked
+    if `SIMILAR` takes them for candidates and their similarity is at least `least`.
+    """
+    chosen = SIMILAR | parameters
+    width = chosen.pop("width")
+    prints = _sets(texts, width, chosen["n_bits"] // 64, least)
+    one = prints.groupBy("digest", "n", "fp", "prefix").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    nodes, _ = staged(one.select(F.monotonically_increasing_id().alias("node"), "first.*", "n", "fp", "prefix"), "simhash-nodes")
+    candidates = connected_components(links(nodes.select(F.col("node").alias("rep"), "fp", "prefix"), **chosen))
+    members, _ = staged(candidates.join(nodes.select("node", "doc_id", "text_hash", "n"), "node"), "simhash-candidates")
+    alike, _ = staged(similar_sets.links(members, _set_data(texts, width), least), "simhash-alike")
+    found, _ = staged(connected_components(alike), "simhash-found")
+    grouped = nodes.select("node", "doc_id", "text_hash").join(found, "node", "left")
+    return grouped.groupBy(F.coalesce("root", "node")).agg(F.min(F.struct("doc_id", "text_hash")).alias("kept")).select("kept.*")
 
 
 def keep_first(docs: DataFrame, **parameters) -> DataFrame:
-    """The documents without near-duplicates: of each component the row with the smallest doc_id.
+    """The documents without near-duplicates: of each component of similar texts the row with the smallest doc_id.
 
-    All columns of `docs` are kept, which has doc_id and text. Documents are taken for similar by
-    `SIMILAR` unless parameters say otherwise. Of repeated rows of one doc_id one is
-    kept; rows without doc_id are kept, as they cannot be told apart.
+    All columns of `docs` are kept, which has doc_id and text. Documents are similar if they share at least
+    0.8 of their five-word shingles (`LEAST` and `SIMILAR`, unless parameters say otherwise); texts without words are
+    alike. Of repeated rows of one doc_id one is kept; rows without doc_id are kept, as they cannot be told apart.
     """
-    found = near_duplicates(docs, **(SIMILAR | parameters))
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept, _ = staged(kept, "simhash-kept")
-    with_id = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), whole_text("text").alias("text"))
+    kept, _ = staged(similar_texts(texts.withColumn("text_hash", F.xxhash64("text")), **parameters), "simhash-kept")
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_text"))
+    same = (F.col("doc_id") == F.col("kept_id")) & (F.xxhash64(whole_text("text")) == F.col("kept_text"))
+    with_id = docs.where("doc_id is not null").join(kept, same, "left_semi")
     return with_id.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))

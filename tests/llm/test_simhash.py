@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from assayflow.llm import simhash
+from assayflow.llm import similar_sets, simhash
 from assayflow.llm.components import connected_components
 from assayflow.llm.queries import QUERIES
 from tests.llm.helpers import components, documents
@@ -93,3 +93,53 @@ def test_similar_texts_are_dropped_and_clean_ones_stay(spark):
 def test_components(spark, links, want):
     found = connected_components(spark.createDataFrame(links, "a long, b long"))
     assert {r.node: r.root for r in found.collect()} == want
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def similar(rng, size, common):
+    """Two texts of `size` shingles each, of which they share `common`."""
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    shared = fresh(common + 4)
+    return " ".join(shared + fresh(size - common)), " ".join(shared + fresh(size - common))
+
+
+def test_pairs_at_the_similarity_are_found_and_others_stay(spark):
+    """A bound on fingerprints alone refuses half of the first pairs and lets many of the others pass."""
+    rng = random.Random(11)
+    cases = [(180, 160), (9, 8), (45, 40), (450, 400), (180, 158), (9, 7), (450, 399), (450, 390)]
+    rows, alike = [], []
+    for case in cases:
+        for _ in range(60):
+            pair = similar(rng, *case)
+            a, b = map(shingles, pair)
+            alike.append(len(a & b) / len(a | b) >= 0.8)
+            rows += [(len(rows), pair[0]), (len(rows) + 1, pair[1])]
+    kept = {r.doc_id for r in simhash.keep_first(documents(spark, rows)).collect()}
+    assert kept >= set(range(0, len(rows), 2))
+    gone = [2 * i + 1 not in kept for i in range(len(alike))]
+    assert not any(g and not a for g, a in zip(gone, alike))
+    assert sum(alike) == 240 and sum(g for g, a in zip(gone, alike) if a) >= 234
+    assert all(g for g, a, (one, _) in zip(gone, alike, [c for c in cases for _ in range(60)]) if a and one < 64)
+
+
+@pytest.mark.parametrize("shingles_held, most", [(1 << 20, 1 << 12), (2000, 1 << 12), (1 << 20, 4), (500, 5)])
+def test_large_groups_of_candidates_lose_no_links(spark, shingles_held, most):
+    """Chains, two dense groups and sets of their own in one component, and one more."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(1 << 62, size=200)
+    other = np.r_[base[:150], rng.integers(1 << 62, size=50)]
+    sets = [np.r_[np.roll(base, -9 * i)[:170], rng.integers(1 << 62, size=8)] for i in range(14)]
+    sets += [np.r_[np.delete(other, rng.integers(200, size=6)), rng.integers(1 << 62, size=4)] for _ in range(25)] + [other[:140], base[:60], base[:0]]
+    sets = {i: set(map(int, s)) for i, s in enumerate(sets)}
+    root = {i: 0 if i < 39 or i > 40 else 39 for i in sets}
+    rows = [(root[i], i, len(s), bytearray(np.sort(np.array(list(s), np.uint64)).tobytes())) for i, s in sets.items()]
+    members = spark.createDataFrame(rows, "root long, node long, n long, data binary")
+    found = connected_components(similar_sets.links(members, lambda m: m, 0.8, shingles_held, most)).collect()
+    likeness = lambda a, b: root[a] == root[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    want = components(list(sets), likeness)
+    assert 3 < len(set(want.values())) < 20
+    assert {i: i for i in sets} | {r.node: r.root for r in found} == want
