@@ -56,7 +56,8 @@ def principal_axes(vectors: DataFrame) -> np.ndarray:
     x = np.zeros((len(rows), size))
     for i, r in enumerate(rows):
         x[i, : len(r.vec)] = r.vec
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    x /= np.abs(x).max(axis=1, keepdims=True, initial=0)  # so that squares neither vanish nor overflow
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
     x -= x.mean(axis=0) if len(x) else 0
     _, axes = np.linalg.eigh(x.T @ x)
     return np.ascontiguousarray(axes[:, ::-1][:, :AXES])
@@ -73,9 +74,10 @@ def grid_order(vectors: DataFrame, axes: np.ndarray, eps: float) -> DataFrame:
             for vec in batch.column(2):
                 x = np.array(vec.as_py(), np.float64)
                 n = min(len(x), len(axes))
+                unit = x / np.abs(x).max()
                 # Vectors of another length than the sample's: what they have of these axes; longer ones lose a part,
                 # which brings projections nearer and so skips less.
-                place = (x[:n] / np.linalg.norm(x)) @ axes[:n]
+                place = (unit[:n] / np.linalg.norm(unit)) @ axes[:n]
                 cell = np.clip(np.floor(place / eps), -30000, 30000).astype(np.int64) + 32768
                 cells.append(len(x).to_bytes(4, "big") + cell.astype(">u2").tobytes())
                 data.append(x.tobytes())

@@ -75,3 +75,14 @@ def test_edge_rows(spark):
     assert result == expected(rows)
     assert ego.near_duplicates(table(spark, [])).collect() == []
     assert len(ego.near_duplicates(table(spark, [(1, None)])).collect()) == 1
+
+
+def test_tiny_and_huge_doubles_over_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ego, "BLOCK", 8)
+    monkeypatch.setattr(ego, "FAN", 2)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(5, 6))
+    units = [(centres[i % 5] + rng.normal(size=6) * 0.1).tolist() for i in range(60)]
+    rows = [(i, [x * (1e-170, 1.0, 1e170)[i % 3] for x in v]) for i, v in enumerate(units)]
+    result = ego.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((tuple(r) for r in result), key=str) == expected(list(enumerate(units)))
