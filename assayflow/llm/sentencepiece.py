@@ -132,7 +132,11 @@ class Model:
 
     @classmethod
     def load(cls, path: str) -> Model:
-        """From a model file, whose vocabulary the installed library reads."""
+        """From a model file, whose vocabulary the installed library reads.
+
+        The scores are taken as they are. Those of a BPE file, such as piece_bpe_32k.model, are minus the merge rank and no
+        logarithms, so the best path differs from what its merges give: the ids are not that tokenizer's.
+        """
         import sentencepiece
 
         from_file = sentencepiece.SentencePieceProcessor(model_file=path)
