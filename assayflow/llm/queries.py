@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayflow.llm import chat, ego, mixing, paragraph_sketch, pii, sentencepiece, simhash, token_counts, toxicity, warc
+from assayflow.llm import (
+    chat,
+    ego,
+    merkle,
+    mixing,
+    paragraph_sketch,
+    pii,
+    sentencepiece,
+    simhash,
+    token_counts,
+    token_files,
+    toxicity,
+    warc,
+)
 from assayflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +204,70 @@ FROM embeddings e LEFT JOIN grouped g ON e.vec_id = g.vec_id LEFT JOIN counted c
 def op6_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against their edited texts and the next documents."""
     return paragraph_sketch.compare_versions(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as leaves, a seventh of them altered after the manifest was made."""
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+# Trees level by level; crc32 from its 256 remainders; a proof is folded over its siblings, each with its side.
+SQL["op11_merkle_manifest"] = r"""
+WITH RECURSIVE remainders AS (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, r) ORDER BY r) AS of_byte
+  FROM range(256) t(r)
+), docs AS (
+  SELECT *, xor(4294967295, list_reduce([ascii(c) FOR c IN string_split(CAST(doc_id AS VARCHAR), '')],
+      lambda c, b: xor(c >> 8, of_byte[(xor(c, b) & 255) + 1]), 4294967295)) % 7 = 0 AS touched,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM documents CROSS JOIN remainders
+), leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    CASE WHEN touched THEN sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) END AS claimed
+  FROM docs
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+  FROM leaves
+), nodes AS (
+  SELECT tree, 0 AS level, place, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT tree, level + 1, place // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY place)) FROM nodes WHERE n > 1
+  GROUP BY tree, level, place // 2, n
+), subroots AS (
+  SELECT tree, h, count(*) OVER () AS n FROM nodes WHERE n = 1
+), top AS (
+  SELECT 0 AS level, tree AS place, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY place)) FROM top WHERE n > 1
+  GROUP BY level, place // 2, n
+), steps AS (
+  SELECT p.tree, p.place, s.level AS step, CAST((p.place >> s.level) & 1 AS VARCHAR) || coalesce(o.h, '') AS sibling
+  FROM placed p JOIN (SELECT DISTINCT tree, level FROM nodes WHERE n > 1) s ON p.tree = s.tree
+  LEFT JOIN nodes o ON o.tree = p.tree AND o.level = s.level AND o.place = xor(p.place >> s.level, 1)
+  UNION ALL
+  SELECT p.tree, p.place, 1000 + s.level, CAST((p.tree >> s.level) & 1 AS VARCHAR) || coalesce(o.h, '')
+  FROM placed p CROSS JOIN (SELECT DISTINCT level FROM top WHERE n > 1) s
+  LEFT JOIN top o ON o.level = s.level AND o.place = xor(p.tree >> s.level, 1)
+), proofs AS (
+  SELECT tree, place, list(sibling ORDER BY step) AS siblings FROM steps GROUP BY tree, place
+), folded AS (
+  SELECT p.*, sha256(array_to_string([s[2:] FOR s IN coalesce(siblings, [])], '')) AS proof_sha256,
+    list_reduce(coalesce(siblings, CAST([] AS VARCHAR[])), lambda h, s: sha256(CASE s[1] WHEN '1' THEN s[2:] || h ELSE h || s[2:] END),
+      coalesce(claimed, leaf)) AS folded_root
+  FROM placed p LEFT JOIN proofs q ON p.tree = q.tree AND p.place = q.place
+)
+SELECT doc_id, leaf, s.h AS subroot, r.h AS root, proof_sha256, folded_root, folded_root = r.h AS verified
+FROM folded f JOIN subroots s ON f.tree = s.tree CROSS JOIN (SELECT h FROM top WHERE n = 1) r
+"""
+
+
+@query
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as ids of 16 bits in files, each ended by id 2, read back."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    return token_files.round_trip(table(spark, sf_dir, "documents"), definition, end_id=2)
