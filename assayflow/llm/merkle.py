@@ -89,22 +89,25 @@ def numbered(frame: DataFrame, group: list[str], order: list[str], purpose: str)
     return joined.select(*[c for c in frame.columns], "place", "n")
 
 
-def _climb(table: pa.Table) -> pa.Table:
-    """The nodes above one aligned block of a level, up to BLOCK_LEVELS higher or the root."""
-    tree, level, n = (table.column(c)[0].as_py() for c in ("tree", "level", "n"))
-    order = np.argsort(table.column("place").to_numpy(), kind="stable")
-    hashes = [h.hex() for h in table.column("hash").take(pa.array(order)).to_pylist()]
-    first = table.column("place")[int(order[0])].as_py()
-    out = []
-    for up in range(1, BLOCK_LEVELS + 1):
-        if n == 1:
-            break
-        hashes = [digest(*hashes[i : i + 2]) for i in range(0, len(hashes), 2)]
-        first, n = first >> 1, (n + 1) >> 1
-        out += [(tree, level + up, first + i, bytes.fromhex(h), n) for i, h in enumerate(hashes)]
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64())
-    columns = list(zip(*out, strict=True)) or [()] * 5
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["tree", "level", "place", "hash", "n"])
+def _climb(levels: int):
+    def climb(block: pa.Table) -> pa.Table:
+        """The nodes above one aligned block of a level, up to so many levels higher or the root."""
+        tree, level, n = (block.column(c)[0].as_py() for c in ("tree", "level", "n"))
+        order = np.argsort(block.column("place").to_numpy(), kind="stable")
+        hashes = [h.hex() for h in block.column("hash").take(pa.array(order)).to_pylist()]
+        first = block.column("place")[int(order[0])].as_py()
+        out = []
+        for up in range(1, levels + 1):
+            if n == 1:
+                break
+            hashes = [digest(*hashes[i : i + 2]) for i in range(0, len(hashes), 2)]
+            first, n = first >> 1, (n + 1) >> 1
+            out += [(tree, level + up, first + i, bytes.fromhex(h), n) for i, h in enumerate(hashes)]
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64())
+        columns = list(zip(*out, strict=True)) or [()] * 5
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["tree", "level", "place", "hash", "n"])
+
+    return climb
 
 
 def build(level0: DataFrame) -> DataFrame:
@@ -115,7 +118,7 @@ def build(level0: DataFrame) -> DataFrame:
     while most > 1:
         block = F.shiftright("place", BLOCK_LEVELS)
         rows = current.where("n > 1").withColumn("block", block)
-        above, _ = staged(rows.groupBy("tree", "block").applyInArrow(_climb, NODES), "merkle-nodes")
+        above, _ = staged(rows.groupBy("tree", "block").applyInArrow(_climb(BLOCK_LEVELS), NODES), "merkle-nodes")
         nodes = nodes.unionByName(above)
         level += BLOCK_LEVELS
         current = above.where(F.col("level") == level)

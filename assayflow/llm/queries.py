@@ -21,6 +21,7 @@ from assayflow.llm import (
     token_files,
     toxicity,
     warc,
+    whitening,
 )
 from assayflow.llm.common import table
 
@@ -271,3 +272,9 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         definition = file.read()
     return token_files.round_trip(table(spark, sf_dir, "documents"), definition, end_id=2)
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on their four leading components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
