@@ -41,8 +41,10 @@ HEAD, FOOT = struct.Struct("<4sHHI"), struct.Struct("<QQQI4s")
 BLOCK_IDS, FILE_IDS, FILE_DOCS = 65_536, 1 << 25, 1 << 20
 #: Blocks read at once.
 READ_BLOCKS = 16
-#: Texts are encoded together up to so many bytes; runs of up to LONG bytes are remembered, at most so many.
-BATCH_BYTES, REMEMBERED, LONG = 4 << 20, 400_000, 64
+#: Texts are encoded together up to so many bytes, new runs so many in one text.
+BATCH_BYTES, JOINED = 8 << 20, 500
+#: Runs that a Python worker remembers, and bytes of them, before it starts anew.
+REMEMBERED, REMEMBERED_BYTES = 500_000, 16 << 20
 
 INDEX = "part int, seq int, file string, n_docs long, n_ids long, n_bytes long"
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long, ids array<int>"
@@ -182,7 +184,8 @@ class Encoder:
 
     Such a tokenizer always cuts between a character that is not white space and a blank or line
     feed, so texts are cut there into runs, and every different run is encoded once. Runs are found
-    and told apart over whole arrays; Python sees only the different ones.
+    and told apart over whole arrays; Python sees only the different ones. New ones are encoded
+    many together, as what is cut may also be joined, and parted by the bytes that their ids stand for.
     """
 
     def __init__(self, definition: str, end_id: int):
@@ -193,36 +196,82 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.end_id = end_id
-        self.bits = id_bits(max(self.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1))
-        self.store: dict[bytes, np.ndarray] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or any(c.isspace() for c in t.content) for t in added.values()):
+            raise ValueError("an added token takes white space, so texts cannot be cut there")
+        self.bits = id_bits(max(*vocabulary.values(), end_id) + 1)
+        # A sign of a byte-level piece is a byte of the text.
+        self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for piece, number in vocabulary.items():
+            self.widths[number] = len(added[number].content.encode()) if number in added else len(piece)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Runs seen, by their number; the ids of all, one after the other; where those of each begin and end."""
+        self.store: dict[bytes, int] = {}
+        self.pool, self.bounds, self.stored_bytes = np.empty(0, np.uint32), np.zeros(1, np.int64), 0
 
     @staticmethod
-    def run_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def solid(data: np.ndarray) -> np.ndarray:
+        """Which bytes end a character that is not white space in any sense; some characters beyond ASCII are left out.
+
+        Taken are ASCII signs, and letters of two bytes from U+00C0 on or three from U+4000 on.
+        """
+        out = (data > 0x20) & (data < 0x7F)
+        tail = (data >= 0x80) & (data < 0xC0)
+        out[1:] |= tail[1:] & (data[:-1] >= 0xC3) & (data[:-1] < 0xE0)
+        out[2:] |= tail[2:] & (data[:-2] >= 0xE4) & (data[:-2] < 0xF0)
+        return out
+
+    @classmethod
+    def run_starts(cls, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Where runs begin in the bytes of texts laid one after the other; the texts begin at `starts`."""
         cut = np.zeros(len(data), bool)
-        if len(data) > 1:
-            before = data[:-1]
-            # Not white space in any sense: ASCII signs, and letters of two bytes from U+00C0 on or three from U+4000 on.
-            solid = (before > 0x20) & (before < 0x7F)
-            tail = (before >= 0x80) & (before < 0xC0)
-            solid[1:] |= tail[1:] & (data[:-2] >= 0xC3) & (data[:-2] < 0xE0)
-            solid[2:] |= tail[2:] & (data[:-3] >= 0xE4) & (data[:-3] < 0xF0)
-            cut[1:] = solid & ((data[1:] == 0x20) | (data[1:] == 0x0A))
+        cut[1:] = cls.solid(data)[:-1] & ((data[1:] == 0x20) | (data[1:] == 0x0A))
         cut[starts[starts < len(data)]] = True
         return np.flatnonzero(cut)
 
-    def _ids(self, runs: list[bytes]) -> list[np.ndarray]:
-        new = [run for run in runs if run not in self.store]
-        if len(self.store) + len(new) > REMEMBERED:
-            self.store.clear()
-            new = runs
-        long = {}
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            found = self.tokenizer.encode_batch_fast([run.decode() for run in part], add_special_tokens=False)
-            for run, encoding in zip(part, found, strict=True):
-                (self.store if len(run) <= LONG else long)[run] = np.array(encoding.ids, np.uint32)
-        return [self.store[run] if run in self.store else long[run] for run in runs]
+    def _encode_new(self, runs: list[bytes], joinable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the runs, those that may be joined first, and how many each has."""
+        encode = lambda texts: [
+            np.array(found.ids, np.uint32)
+            for at in range(0, len(texts), 1000)
+            for found in self.tokenizer.encode_batch_fast([t.decode() for t in texts[at : at + 1000]], add_special_tokens=False)
+        ]
+        together = [run for run, joined in zip(runs, joinable, strict=True) if joined]
+        alone = encode([run for run, joined in zip(runs, joinable, strict=True) if not joined])
+        parts = encode([b"".join(together[at : at + JOINED]) for at in range(0, len(together), JOINED)])
+        ids = np.concatenate([*parts, np.empty(0, np.uint32)])
+        upto = np.cumsum(self.widths[ids])
+        ends = np.cumsum([len(run) for run in together]).astype(np.int64)
+        last = np.searchsorted(upto, ends)
+        if len(ends) and (last[-1] + 1 != len(ids) or not (upto[last] == ends).all()):
+            raise ValueError("the tokenizer does not cut at white space")
+        counts = np.concatenate([np.diff(last, prepend=-1), [len(found) for found in alone]]).astype(np.int64)
+        return np.concatenate([ids, *alone]), counts
+
+    def _numbers(self, runs: pa.Array) -> np.ndarray:
+        """The numbers of different runs in the store, which new ones enter."""
+        offsets = np.frombuffer(runs.buffers()[1], np.int32, len(runs) + 1, 4 * runs.offset)
+        data = np.frombuffer(runs.buffers()[2] or b"", np.uint8)
+        values = runs.to_pylist()
+        numbers = np.array([self.store.get(run, -1) for run in values], np.int64)
+        new = np.flatnonzero(numbers < 0)
+        if self.store and (len(self.store) + len(new) > REMEMBERED or self.stored_bytes > REMEMBERED_BYTES):
+            self._forget()
+            new = np.arange(len(values))
+        first, solid = data[offsets[new]], self.solid(data)[offsets[new + 1] - 1]
+        joinable = ((first == 0x20) | (first == 0x0A)) & solid
+        ids, counts = self._encode_new([values[i] for i in new.tolist()], joinable)
+        new = np.concatenate([new[joinable], new[~joinable]])
+        numbers[new] = len(self.store) + np.arange(len(new))
+        for i in new.tolist():
+            self.store[values[i]] = len(self.store)
+            self.stored_bytes += len(values[i])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(counts)])
+        self.pool = np.concatenate([self.pool, ids])
+        return numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each text (binary, UTF-8, none NULL) has with its end id, and all ids."""
@@ -233,15 +282,12 @@ class Encoder:
         runs = self.run_starts(data, starts)
         places = np.append(runs, len(data)).astype(np.int32)
         coded = pa.Array.from_buffers(pa.binary(), len(runs), [None, pa.py_buffer(places), pa.py_buffer(data)]).dictionary_encode()
-        different = self._ids(coded.dictionary.to_pylist())
-        lengths = np.array([len(d) for d in different], np.int64)
-        pool = np.concatenate([*different, np.empty(0, np.uint32)])
-        which = coded.indices.to_numpy()
-        own = lengths[which]
+        number = self._numbers(coded.dictionary)[coded.indices.to_numpy()]
+        begin = self.bounds[number]
+        own = self.bounds[number + 1] - begin
         # Each run's ids are a stretch of the pool.
         ahead = np.cumsum(own)
-        at = np.repeat((np.cumsum(lengths) - lengths)[which] - (ahead - own), own) + np.arange(ahead[-1] if len(ahead) else 0)
-        flat = pool[at]
+        flat = self.pool[np.repeat(begin - (ahead - own), own) + np.arange(ahead[-1] if len(ahead) else 0)]
         # The text that a run is of is the last to begin there; the ones before it are empty.
         of = np.searchsorted(starts, runs, side="right") - 1
         counts = np.bincount(of, weights=own, minlength=n).astype(np.int64) + 1
@@ -253,6 +299,16 @@ class Encoder:
         return counts, ids
 
 
+_encoders: dict[tuple[str, int], Encoder] = {}
+
+
+def encoder(definition: str, end_id: int) -> Encoder:
+    """The encoder of this Python worker, with the runs that earlier tasks have seen."""
+    if (definition, end_id) not in _encoders:
+        _encoders[definition, end_id] = Encoder(definition, end_id)
+    return _encoders[definition, end_id]
+
+
 def _pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about BATCH_BYTES of text."""
     texts = batch.column(column)
@@ -274,7 +330,7 @@ def _write(folder: str, definition, end_id: int, file_ids: int, block_ids: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _open(folder)
         fs.create_dir(root, recursive=True)
-        encoder = Encoder(definition.value, end_id)
+        coder = encoder(definition.value, end_id)
         part, seq = TaskContext.get().partitionId(), 0
         writer, name, done = None, "", []
 
@@ -283,13 +339,13 @@ def _write(folder: str, definition, end_id: int, file_ids: int, block_ids: int):
 
         for batch in batches:
             for piece in _pieces(batch, 1):
-                lengths, ids = encoder.encode(piece.column(1))
+                lengths, ids = coder.encode(piece.column(1))
                 if writer is not None and (writer.n_ids >= file_ids or writer.n_docs >= FILE_DOCS):
                     close()
                     writer, seq = None, seq + 1
                 if writer is None:
                     name = f"{uuid.uuid4().hex}.tids"
-                    writer = TokenFileWriter(fs.open_output_stream(f"{root}/{name}", compression=None), encoder.bits, block_ids)
+                    writer = TokenFileWriter(fs.open_output_stream(f"{root}/{name}", compression=None), coder.bits, block_ids)
                 doc_ids = piece.column(0)
                 writer.add(doc_ids.fill_null(0).to_numpy(), doc_ids.is_valid().to_numpy(zero_copy_only=False), lengths, ids)
         if writer is not None:
