@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayflow.functions import flag, month_start, safe_ratio
 from assayflow.operators.joins import left_join_fanout
 
+# What describes a candidate.
 CANDIDATE = (
     "sample_id",
     "sample_name",
@@ -56,29 +57,33 @@ def recommendation(rules: CandidateRules) -> Column:
 def candidate_mart(candidates: DataFrame, results: DataFrame, rules: CandidateRules = CandidateRules()) -> DataFrame:
     """One row per candidate: stocks, tests, averages, pass rate, recommendation.
 
-    Equals a left join of candidates and results on sample and stock, grouped by
-    candidate. The counts of stocks depend on the candidates alone and are made there;
-    results are grouped by the sample and the number of its variant - samples normally have
-    one - and only then meet the candidate's columns. The inner join may be split on
-    either side when one stock has very many results.
+    Equals a left join of candidates and results on sample and stock, grouped by the candidate's
+    attributes. The counts of stocks depend on the candidates alone and are made there;
+    results are grouped by the sample and a digest of its other attributes and only then meet
+    these. Every grouping combines on the map side, and the inner join may be split on
+    either side, so a sample or stock that holds most rows is shared by many tasks.
     """
     attributes = [c for c in CANDIDATE if c != "sample_id"]
-    variants = Window.partitionBy("sample_id").orderBy(*attributes)
-    numbered = candidates.withColumn("variant", F.dense_rank().over(variants))
-    usable = F.when(~F.col("is_expired") & ~F.col("is_depleted"), F.col("stock_id"))
-    sides = numbered.groupBy("sample_id", "variant").agg(
+    # NULLs are left out of the JSON text, so they differ from every value and equal each other.
+    described = candidates.withColumn("variant", F.unhex(F.md5(F.to_json(F.struct(*attributes)).cast("binary"))))
+    candidate = ["sample_id", "variant"]
+    usable = F.max((~F.col("is_expired") & ~F.col("is_depleted")).cast("int"))
+    per_stock = described.groupBy(*candidate, "stock_id").agg(
+        *(F.min(c).alias(c) for c in attributes), usable.alias("usable"), F.max("ingest_date").alias("ingest_date")
+    )
+    sides = per_stock.groupBy(*candidate).agg(
         *(F.min(c).alias(c) for c in attributes),
-        F.countDistinct("stock_id").alias("num_available_stocks"),
-        F.countDistinct(usable).alias("num_usable_stocks"),
+        F.count("stock_id").alias("num_available_stocks"),
+        F.count_if((F.col("usable") == 1) & F.col("stock_id").isNotNull()).alias("num_usable_stocks"),
         F.max("ingest_date").alias("latest_candidate_ingest_date"),
     )
-    tested = numbered.select("sample_id", "stock_id", "variant").join(
+    tested = described.select(*candidate, "stock_id").join(
         results.select(
             "sample_id", "stock_id", "experiment_id", "result_id", "endpoint_name", "endpoint_value", "is_qc_pass", "ingest_date"
         ),
         ["sample_id", "stock_id"],
     )
-    tests = tested.groupBy("sample_id", "variant").agg(
+    tests = tested.groupBy(*candidate).agg(
         F.countDistinct("experiment_id").alias("num_experiments"),
         F.countDistinct("stock_id").alias("num_stocks_tested"),
         F.count("result_id").alias("num_screening_results"),
@@ -90,11 +95,12 @@ def candidate_mart(candidates: DataFrame, results: DataFrame, rules: CandidateRu
         F.max("ingest_date").alias("latest_screening_ingest_date"),
     )
     counted = ("num_experiments", "num_stocks_tested", "num_screening_results")
-    summary = sides.join(tests, ["sample_id", "variant"], "left").fillna(0, list(counted))
+    summary = sides.join(tests, candidate, "left").fillna(0, list(counted))
     columns = [*CANDIDATE, "num_available_stocks", "num_usable_stocks", *tests.columns[2:], "latest_candidate_ingest_date"]
     return summary.select(*columns).withColumn("candidate_recommendation", recommendation(rules))
 
 
+# Columns of the summary.
 EXPERIMENT = (
     "experiment_id",
     "experiment_name",

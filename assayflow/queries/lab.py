@@ -363,39 +363,43 @@ select result_id, measurement_id, experiment_id, sample_id, stock_id, protocol_c
 from {0}"""
 
 # The marts from their specification: each side is counted by itself, labels come from finished columns.
-_CANDIDATE_MART = """
-select sides.*, coalesce(num_experiments, 0) as num_experiments, coalesce(num_stocks_tested, 0) as num_stocks_tested,
-    coalesce(num_screening_results, 0) as num_screening_results, avg_binding_affinity_nm, avg_cytotoxicity_percent,
-    avg_cytokine_release_pg_ml, avg_activation_or_inhibition_percent, qc_pass_rate, latest_screening_ingest_date,
-    case when rate < 0.8 and not good then 'Review QC' when good then 'Advance' else 'Hold' end as candidate_recommendation
-from (
-    select any_value(columns(lambda x: x in ('sample_name', 'internal_code', 'antibody_clone_id', 'antibody_target_antigen',
-            'antibody_format', 'antibody_humanized'))), sample_id,
-        count(distinct stock_id) as num_available_stocks,
-        count(distinct stock_id) filter (not is_expired and not is_depleted) as num_usable_stocks,
+_ATTRIBUTES = "sample_id, sample_name, internal_code, antibody_clone_id, antibody_target_antigen, antibody_format, antibody_humanized"
+_CANDIDATE_MART = f"""
+with held as (
+    select {{{{{", ".join(f"'{c}': {c}" for c in _ATTRIBUTES.split(", "))}}}}} as candidate, sample_id, stock_id,
+        not is_expired and not is_depleted as usable, ingest_date
+    from dim_antibody_candidates
+), sides as (
+    select candidate, count(distinct stock_id) as num_available_stocks, count(distinct stock_id) filter (usable) as num_usable_stocks,
         max(ingest_date) as latest_candidate_ingest_date
-    from dim_antibody_candidates group by sample_id
-) sides left join (
-    select *, coalesce(qc_pass_rate, 0) as rate,
-        coalesce(avg_binding_affinity_nm <= 50 and avg_cytotoxicity_percent >= 50 and qc_pass_rate >= 0.9, false) as good
-    from (
-        select sample_id, count(distinct experiment_id) as num_experiments, count(distinct stock_id) as num_stocks_tested,
-            count(result_id) as num_screening_results,
-            avg(endpoint_value) filter (endpoint_name = 'Binding Affinity') as avg_binding_affinity_nm,
-            avg(endpoint_value) filter (endpoint_name = 'Cytotoxicity') as avg_cytotoxicity_percent,
-            avg(endpoint_value) filter (endpoint_name in ('IFN-gamma', 'IL-2')) as avg_cytokine_release_pg_ml,
-            avg(endpoint_value) filter (endpoint_name in ('CD69 Positive T Cells', 'Reporter Inhibition'))
-                as avg_activation_or_inhibition_percent,
-            cast(count(*) filter (is_qc_pass) as double) / nullif(count(result_id), 0) as qc_pass_rate,
-            max(ingest_date) as latest_screening_ingest_date
-        from {0} semi join (select sample_id, stock_id from dim_antibody_candidates) using (sample_id, stock_id)
-        group by sample_id
-    )
-) tests on sides.sample_id = tests.sample_id"""
+    from held group by candidate
+), tests as (
+    select candidate as tested, count(distinct experiment_id) as experiments, count(distinct stock_id) as stocks, count(result_id) as outcomes,
+        avg(endpoint_value) filter (endpoint_name = 'Binding Affinity') as avg_binding_affinity_nm,
+        avg(endpoint_value) filter (endpoint_name = 'Cytotoxicity') as avg_cytotoxicity_percent,
+        avg(endpoint_value) filter (endpoint_name in ('IFN-gamma', 'IL-2')) as avg_cytokine_release_pg_ml,
+        avg(endpoint_value) filter (endpoint_name in ('CD69 Positive T Cells', 'Reporter Inhibition')) as avg_activation_or_inhibition_percent,
+        cast(count(*) filter (is_qc_pass) as double) / nullif(count(result_id), 0) as qc_pass_rate,
+        max(r.ingest_date) as latest_screening_ingest_date
+    from held join {{0}} r using (sample_id, stock_id) group by candidate
+), finished as (
+    select candidate.*, * exclude (candidate, tested, experiments, stocks, outcomes), coalesce(experiments, 0) as num_experiments,
+        coalesce(stocks, 0) as num_stocks_tested, coalesce(outcomes, 0) as num_screening_results, coalesce(qc_pass_rate, 0) as rate
+    from sides left join tests on candidate is not distinct from tested
+)
+select * exclude (rate), case
+    when avg_binding_affinity_nm <= 50 and coalesce(avg_cytotoxicity_percent, 0) >= 50 and rate >= 0.9 then 'Advance'
+    when rate < 0.8 then 'Review QC'
+    else 'Hold' end as candidate_recommendation
+from finished"""
 
 _EXPERIMENT_MART = """
 with states as (
-    select *, case when not is_signed then 'Unsigned' when is_witnessed then 'Complete' else 'Signed Not Witnessed' end as compliance_status
+    select *, case
+        when is_signed and is_witnessed then 'Complete'
+        when is_signed and not is_witnessed then 'Signed Not Witnessed'
+        when not is_signed then 'Unsigned'
+        else 'Other' end as compliance_status
     from {1}
 ), outcomes as (
     select result_id, experiment_id as tested_experiment, sample_id, stock_id, assay_name, endpoint_name, instrument_name, is_qc_pass,
