@@ -3,19 +3,25 @@
 A leaf becomes a column named after the leaf key alone. When two leaves share a
 name the later one in document order wins, also from inside a list, whose last
 element counts. An absent object and an empty list contribute nothing, so an
-earlier value stays. The JSON reader gives NULL both for an absent leaf and for
-an explicit null, so inside a present object both replace an earlier value.
+earlier value stays.
+
+Records are columns of structs, or VARIANTs under a schema. A VARIANT knows an absent
+leaf, which contributes nothing, from an explicit null, which replaces an earlier value;
+inside a struct that is present, NULL always replaces.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assayflow.operators.variants import as_text, ddl, variant_path
+
+VARIANT = "variant"
 COLLISION_RULES = ("last_wins", "error", "prefix")
 ARRAY_RULES = ("last_element", "keep")
 
@@ -75,10 +81,19 @@ def flatten(
     taken name is called by its full path, joined with ``_``).
     ``arrays``: ``last_element``, or ``keep`` to leave lists as array columns.
     """
+    _known(on_collision, arrays)
+    return df.select(*_columns(_leaves(df.schema, arrays), on_collision))
+
+
+def _known(on_collision: str, arrays: str) -> None:
     if on_collision not in COLLISION_RULES or arrays not in ARRAY_RULES:
         raise ValueError(f"on_collision in {COLLISION_RULES}, arrays in {ARRAY_RULES}")
+
+
+def _columns(leaves: Iterable[_Leaf], on_collision: str) -> list[Column]:
+    """One column per leaf name; on a collision the rule decides."""
     out: dict[str, Column] = {}
-    for leaf in _leaves(df.schema, arrays):
+    for leaf in leaves:
         if leaf.name not in out:
             # A leaf of an absent object is NULL anyway; an empty list needs no guard either.
             out[leaf.name] = leaf.value
@@ -90,4 +105,61 @@ def flatten(
             out[leaf.name] = leaf.value
         else:
             out[leaf.name] = F.when(leaf.present, leaf.value).otherwise(out[leaf.name])
-    return df.select(*(value.alias(name) for name, value in out.items()))
+    return [value.alias(name) for name, value in out.items()]
+
+
+def _text_cast(value: Column, kind: T.DataType) -> Column:
+    """A VARIANT in a declared type, by way of its text: text that is no such value fails (ANSI mode)."""
+    text = F.variant_get(value, "$", "string")
+    return text if isinstance(kind, T.StringType) else text.cast(kind)
+
+
+def _taking(path: str, kind: str) -> Callable[[Column], Column]:
+    """What an element of a list has at a path."""
+    return lambda x: F.try_variant_get(x, path, kind)
+
+
+def _present(items: Column) -> Column:
+    return F.filter(items, lambda x: x.isNotNull())
+
+
+def _visited(path: tuple[str, ...], items: Column, element: T.DataType) -> Iterator[_Leaf]:
+    """Leaves below a list. ``items`` holds every element in visiting order, as VARIANTs."""
+    if isinstance(element, T.StructType):
+        for field in element.fields:
+            values = _present(F.transform(items, _taking(variant_path((field.name,)), VARIANT)))
+            yield from _visited((*path, field.name), values, field.dataType)
+    elif isinstance(element, T.ArrayType):
+        lists = F.transform(items, _taking("$", f"array<{VARIANT}>"))
+        yield from _visited(path, F.flatten(_present(lists)), element.elementType)
+    else:
+        yield _Leaf(path, _text_cast(F.try_element_at(items, F.lit(-1)), element), F.size(items) > 0)
+
+
+def _variant_leaves(record: str, schema: T.StructType, arrays: str, path: tuple[str, ...] = ()) -> Iterator[_Leaf]:
+    for field in schema.fields:
+        here, kind = (*path, field.name), field.dataType
+        if isinstance(kind, T.StructType):
+            yield from _variant_leaves(record, kind, arrays, here)
+            continue
+        value = F.try_variant_get(record, variant_path(here), VARIANT)
+        if not isinstance(kind, T.ArrayType):
+            yield _Leaf(here, _text_cast(value, kind), value.isNotNull())
+        elif arrays == "last_element":
+            items = F.try_variant_get(record, variant_path(here), f"array<{VARIANT}>")
+            yield from _visited(here, F.coalesce(items, F.array().cast(f"array<{VARIANT}>")), kind.elementType)
+        else:
+            yield _Leaf(here, F.variant_get(value, "$", ddl(as_text(kind))).cast(kind), value.isNotNull())
+
+
+def flatten_variant(
+    df: DataFrame, record: str, schema: T.StructType, on_collision: str = "last_wins", arrays: str = "last_element"
+) -> DataFrame:
+    """The same from the VARIANT column ``record`` under a schema; the other columns follow.
+
+    An absent leaf keeps the value of an earlier one of its name, an explicit null replaces it.
+    A leaf that is a list of objects is taken from the last object that has it.
+    """
+    _known(on_collision, arrays)
+    leaves = _columns(_variant_leaves(record, schema, arrays), on_collision)
+    return df.select(*leaves, *(c for c in df.columns if c != record))

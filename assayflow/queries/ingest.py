@@ -8,24 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayflow.operators.flatten import flatten
-from assayflow.operators.keys import batch_key as content_key
+from assayflow.operators.flatten import flatten, flatten_variant
 from assayflow.operators.keys import batch_keys, composite_key, new_records, record_hash
 from assayflow.operators.schema import union_evolving
 from assayflow.queries.base import query, table
-from assayflow.sources.landing import (
-    landed_files,
-    object_key,
-    read_landing,
-    stream_landing,
-    undeclared,
-    unprocessed_files,
-    with_source_file,
-    write_landing,
-)
-from assayflow.sources.raw import PARTITIONS, scan_raw, to_raw, write_raw
+from assayflow.sources.landing import landed_files, object_key, read_landing, unprocessed_files, write_landing
 from assayflow.sources.paths import scratch_dir
-from assayflow.streaming.ingest import start
+from assayflow.sources.raw import PARTITIONS, ingest_files, raw_schema, scan_raw, stored_schema, write_raw
+from assayflow.sources.registry import Dataset
+from assayflow.streaming.ingest import batch_lineage, ingest_stream
 
 EVENT_DDL = "event_id bigint, ts string, user_id bigint, event_type string, value double, props struct<k: int>"
 RUN_DAY = date(2024, 2, 1)
@@ -44,9 +35,9 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land_events(spark: SparkSession, sf_dir: str, by_day: bool = False) -> str:
+def land_events(spark: SparkSession, sf_dir: str, by_day: bool = False, path: str | None = None) -> str:
     """Export all events as JSON array files and return their folder."""
-    path = scratch_dir(spark, "landing")
+    path = path or scratch_dir(spark, "landing")
     records = event_records(spark, sf_dir)
     write_landing(records if by_day else records.drop("run_date"), path, ["run_date"] if by_day else [])
     return path
@@ -71,16 +62,15 @@ def ingest_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-select cast(ts as date) as run_date, true as key_ends_with_name, count(*) as n_records, date '{RUN_DAY}' as ingest_date
-from events group by all""")
+select event_id, cast(ts as date) as run_date, true as key_ends_with_name, date '{RUN_DAY}' as ingest_date from events""")
 def ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records per day folder of the file they came from, which must be the days of the events."""
-    landed = with_source_file(read_landing(spark, event_schema(), land_events(spark, sf_dir, by_day=True)))
+    """Each record with the day folder of the file it came from, which must be the day of its event."""
+    landed = read_landing(spark, event_schema(), land_events(spark, sf_dir, by_day=True), with_files=True)
     key = object_key(F.col("source_file_path"))
     day = F.regexp_extract(key, r"run_date=(\d{4}-\d{2}-\d{2})/", 1).cast("date")
-    named = key.endswith(F.col("source_file_name")) & F.col("source_file_name").endswith(".json")
-    return landed.groupBy(day.alias("run_date"), named.alias("key_ends_with_name"), F.lit(RUN_DAY).alias("ingest_date")).agg(
-        F.count("*").alias("n_records")
+    named = key.endswith(F.col("source_file_name")) & (F.length("source_file_name") > 0)
+    return landed.select(
+        "event_id", day.alias("run_date"), named.alias("key_ends_with_name"), F.lit(RUN_DAY).alias("ingest_date")
     )
 
 
@@ -119,15 +109,20 @@ def flatten_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select event_id, case when event_type = 'signup' then value
+select event_id, case event_type when 'signup' then value when 'purchase' then null
     else cast(json_extract(props, '$.k') as double) end as value
 from events""")
 def flatten_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    later = F.struct(F.from_json("props", "k double").getField("k").alias("value"))
-    record = table(spark, sf_dir, "events").select(
-        "event_id", "value", F.when(F.col("event_type") != "signup", later).alias("measured")
+    """Records whose later leaf has a value, is an explicit null (purchases) or absent (signups, alternately with its object)."""
+    events = table(spark, sf_dir, "events").withColumn("k", F.from_json("props", "k double").getField("k"))
+    event, empty = F.col("event_type"), F.create_map().cast("map<string, double>")
+    measured = (
+        F.when(event == "purchase", F.create_map(F.lit("value"), F.lit(None).cast("double")))
+        .when(event != "signup", F.create_map(F.lit("value"), F.col("k")))
+        .when(F.col("event_id") % 2 == 0, empty)
     )
-    return flatten(record)
+    record = events.select("event_id", F.parse_json(F.to_json(F.struct("value", measured.alias("measured")))).alias("record"))
+    return flatten_variant(record, "record", T.StructType.fromDDL("value double, measured struct<value: double>"))
 
 
 @query("""
@@ -194,22 +189,38 @@ def batch_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_keys(files, "source", "path", ["batch"])
 
 
-def _stream_to_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing, raw = land_events(spark, sf_dir), scratch_dir(spark, "raw")
-    landed = stream_landing(spark, event_schema(), landing, 4)
-    rows = to_raw(landed).withColumn("ingest_date", F.lit(RUN_DAY))
+EVENTS = Dataset("events", EVENT_DDL, "event_id")
+
+
+def ingest_events(spark: SparkSession, sf_dir: str, max_files: int, by_day: bool = False) -> str:
+    """Land all events and take them to a raw table as the shipped stream does; the root of both."""
+    root = scratch_dir(spark, "lake")
+    land_events(spark, sf_dir, by_day, EVENTS.landing_path(root))
+    ingest_stream(spark, EVENTS, root, "last_element", RUN_DAY, max_files_per_trigger=max_files).awaitTermination()
+    return root
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        files = [r.source_file_path for r in batch.select("source_file_path").distinct().collect()]  # at most 4
-        write_raw(batch, raw, content_key("events", files))
 
-    start(rows, on_batch, scratch_dir(spark, "checkpoint"), once=True).awaitTermination()
-    return scan_raw(spark, raw, T.StructType(rows.schema.fields + PARTITIONS.fields[1:]))
+def raw_event_schema(spark: SparkSession) -> T.StructType:
+    return raw_schema(spark, EVENTS, "last_element")
 
 
 @query(FLAT_EVENTS)
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed_ts(_stream_to_raw(spark, sf_dir)).select("event_id", "ts", "user_id", "event_type", "value", "k")
+    raw = scan_raw(spark, EVENTS.raw_path(ingest_events(spark, sf_dir, 4)), raw_event_schema(spark))
+    return typed_ts(raw).select("event_id", "ts", "user_id", "event_type", "value", "k")
+
+
+@query("""
+select source_batch = batch_key as named_by_content, n_files > 0 and n_files <= 4 as within_limit, n_records
+from (select true as named, count(*) as n_records from events), (select 'x' as source_batch, 'x' as batch_key, 1 as n_files)""")
+def stream_batch_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of the shipped stream: each named by the key of the files its rows came from, and what they hold together."""
+    raw = scan_raw(spark, EVENTS.raw_path(ingest_events(spark, sf_dir, 4)), raw_event_schema(spark))
+    held = raw.groupBy("source_batch").agg(F.count("*").alias("n_records"))
+    lineage = batch_lineage(raw, EVENTS.name).join(held, "source_batch")
+    named = (F.col("source_batch") == F.col("batch_key")).alias("named_by_content")
+    within = ((F.col("n_files") > 0) & (F.col("n_files") <= 4)).alias("within_limit")
+    return lineage.groupBy(named, within).agg(F.sum("n_records").alias("n_records"))
 
 
 @query("""
@@ -219,7 +230,7 @@ def unprocessed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the files still to be processed hold, per day folder."""
     landing = land_events(spark, sf_dir, by_day=True)
     day = F.regexp_extract("source_file_path", r"run_date=(\d{4}-\d{2}-\d{2})", 1).cast("date")
-    landed = with_source_file(read_landing(spark, event_schema(), landing))
+    landed = read_landing(spark, event_schema(), landing, with_files=True)
     processed = landed.filter(day < F.lit("2024-01-16").cast("date"))
     open_files = unprocessed_files(landed_files(spark, landing), processed).select("source_file_path")
     rows = landed.join(open_files, "source_file_path", "left_semi")
@@ -234,8 +245,12 @@ def ingest_new_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     kit = F.concat(F.lit("kit-"), F.col("user_id").cast("string"))
     half = (F.col("user_id").cast("double") + 0.5).cast("string")
-    path, declared = scratch_dir(spark, "landing"), T.StructType.fromDDL("event_id bigint, event_type string, value double")
+    root, kits = scratch_dir(spark, "lake"), Dataset("kits", "event_id bigint, event_type string, value double", "event_id")
+    path = kits.landing_path(root)
     plain = events.select("event_id", "event_type", half.alias("value"))
     write_landing(plain.filter("event_id % 2 <> 0"), path)
     write_landing(plain.join(events.select("event_id", kit.alias("source")), "event_id").filter("event_id % 2 = 0"), path)
-    return flatten(read_landing(spark, undeclared(spark, declared, path), path))
+    ingest_files(spark, kits, [path], root, RUN_DAY, "last_element")
+    raw = kits.raw_path(root)
+    stored = scan_raw(spark, raw, stored_schema(spark, raw, raw_schema(spark, kits, "last_element")))
+    return stored.select("event_id", "event_type", "value", "source")

@@ -1,4 +1,8 @@
-"""Landed JSON: readers for batch and stream, and the export that writes the same form."""
+"""Landed JSON: readers for batch and stream, and the export that writes the same form.
+
+A file is parsed once, into one VARIANT, from which fields are taken by path, so that an explicit null
+and an absent field stay apart and fields that no schema declares are seen in the same pass.
+"""
 
 from __future__ import annotations
 
@@ -9,12 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayflow.sources.paths import hadoop_path
+from assayflow.operators.variants import as_text, ddl, variant_path
 
-FILE_PATTERN = "*.json"
+#: What landed files are called: arrays of other systems, and those `write_landing` writes.
+FILE_PATTERN = "{*.json,part-*.txt}"
 CORRUPT = "_corrupt_record"
+RECORD = "record"
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 METADATA_COLUMNS = ("source_file_name", "source_file_path")
+#: Path, declared type and found type of something that has another shape than declared.
+Misfit = tuple[tuple[str, ...], T.DataType, T.DataType]
+#: A VARIANT holds 128 MiB, and small numbers take more there than in their file; files beyond this size are read field by field.
+WHOLE_FILE_BYTES = 32 << 20
 
 
 def with_source_file(df: DataFrame) -> DataFrame:
@@ -35,93 +45,132 @@ def _options(pattern: str) -> dict:
     return {"multiLine": True, "pathGlobFilter": pattern, "recursiveFileLookup": True}
 
 
-def _as_text(kind: T.DataType) -> T.DataType:
-    """The same shape with every leaf read as the text it is in the file."""
-    if isinstance(kind, T.StructType):
-        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])
-    if isinstance(kind, T.ArrayType):
-        return T.ArrayType(_as_text(kind.elementType))
-    return T.StringType()
+def _file_size(df: DataFrame, above: bool) -> DataFrame:
+    """Only the files above or up to the size that is read whole; the others are not opened."""
+    size = F.col("_metadata.file_size")
+    return df.filter(size > WHOLE_FILE_BYTES if above else size <= WHOLE_FILE_BYTES)
 
 
-def _typed(landed: DataFrame, schema: T.StructType) -> DataFrame:
-    """Text leaves in the declared types; text that is no such value fails (ANSI mode), it is never lost."""
-    rest = [c for c in landed.columns if c not in schema.names]
-    return landed.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields), *rest)
+def _large_files(spark: SparkSession, paths: list[str], pattern: str, quarantine: bool) -> DataFrame | None:
+    """Records of the files that are too large to be one value, or None without such files."""
+    files = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=True).load(paths)
+    if not files.filter(F.col("length") > WHOLE_FILE_BYTES).select("path").head(1):
+        return None
+    mode = {"mode": "PERMISSIVE" if quarantine else "FAILFAST"}
+    # The reader cuts an array into its elements if it knows their fields, which takes a read for their names.
+    names = sorted(_file_size(spark.read.options(primitivesAsString=True, **mode, **_options(pattern)).json(paths), True).schema.names)
+    fields = T.StructType([T.StructField(n, T.VariantType()) for n in names if n != CORRUPT])
+    reader = spark.read.options(columnNameOfCorruptRecord=CORRUPT, **mode, **_options(pattern))
+    read = _file_size(with_source_file(reader.schema(fields.add(CORRUPT, T.StringType()) if quarantine else fields).json(paths)), True)
+    record = F.parse_json(F.to_json(F.struct(*(F.col(f"`{n}`") for n in fields.names if n != CORRUPT))))
+    bad = F.col(CORRUPT).isNotNull() if quarantine else F.lit(False)
+    kept = [CORRUPT] if quarantine else []
+    return read.select(F.when(~bad, record).alias(RECORD), *kept, *METADATA_COLUMNS)
 
 
-def read_landing(
-    spark: SparkSession,
-    schema: T.StructType,
-    paths: str | Sequence[str],
-    pattern: str = FILE_PATTERN,
-    quarantine: bool = False,
+def read_records(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str = FILE_PATTERN, quarantine: bool = False
 ) -> DataFrame:
-    """Files holding one JSON array each, one row per array element.
+    """Files holding one JSON array each: every element as a VARIANT in `record`, and the file it came from.
 
-    All paths go into one read, hence one job. A file is parsed by one task,
-    so land many moderate files rather than one huge one. A file that is no JSON fails the
-    read; with ``quarantine`` its content becomes a row in the column ``_corrupt_record``, for
-    `split_corrupt` to take out. A number written as text is read as the number.
+    All paths go into one read. A file is parsed once, by one task, as one value, so land many moderate
+    files rather than one huge one; files above WHOLE_FILE_BYTES are parsed once more, for the names of
+    their fields. A file that is no JSON fails the read; with ``quarantine`` it
+    becomes a row without record, its content in the column ``_corrupt_record``. Numbers are as any JSON
+    parser has them: integers beyond 38 digits are doubles, a decimal has no trailing zeros.
     """
-    text = _as_text(schema)
-    reader = spark.read.options(**_options(pattern))
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    reader = spark.read.format("json").options(**_options(pattern))
     if quarantine:
-        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).schema(text.add(CORRUPT, T.StringType()))
+        schema = T.StructType().add("landed", T.VariantType()).add(CORRUPT, T.StringType())
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, singleVariantColumn="landed").schema(schema)
     else:
-        reader = reader.option("mode", "FAILFAST").schema(text)
-    return _typed(reader.json(paths if isinstance(paths, str) else list(paths)), schema)
+        reader = reader.options(mode="FAILFAST", singleVariantColumn="landed")
+    kept = [CORRUPT] if quarantine else []
+    whole = with_source_file(reader.load(paths))
+    large = _large_files(spark, paths, pattern, quarantine)
+    if large is not None:
+        whole = _file_size(whole, False)
+    # A file may also hold a single object.
+    elements = F.coalesce(F.try_variant_get("landed", "$", "array<variant>"), F.array("landed"))
+    records = whole.select(F.explode(elements).alias(RECORD), *kept, *METADATA_COLUMNS)
+    return records if large is None else records.unionByName(large)
+
+
+def typed_records(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """The records as columns of the schema, in place of `record`; text that is no such value fails, it is never lost."""
+    rest = [c for c in records.columns if c != RECORD]
+    parsed = F.variant_get(RECORD, "$", ddl(as_text(schema))).alias(RECORD)
+    values = (F.col(RECORD).getField(f.name).cast(f.dataType).alias(f.name) for f in schema.fields)
+    return records.select(parsed, *rest).select(*values, *rest)
 
 
-def split_corrupt(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good records; and of what could not be parsed the content, what was parsed of it, and the file. From a read with ``quarantine``."""
-    fields = [c for c in landed.columns if c != CORRUPT]
-    parsed = F.to_json(F.struct(*fields)).alias("parsed")
-    bad = with_source_file(landed).filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, parsed, *METADATA_COLUMNS)
-    return landed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
+def read_landing(
+    spark: SparkSession, schema: T.StructType, paths: str | Sequence[str], pattern: str = FILE_PATTERN, with_files: bool = False
+) -> DataFrame:
+    """The records of `read_records` in the declared types; a number written as text is read as the number."""
+    typed = typed_records(read_records(spark, paths, pattern), schema)
+    return typed if with_files else typed.drop(*METADATA_COLUMNS)
 
 
-def stream_landing(
-    spark: SparkSession,
-    schema: T.StructType,
-    path: str,
-    max_files_per_trigger: int = 1000,
-    pattern: str = FILE_PATTERN,
-) -> DataFrame:
-    """The same as a stream: each new file is read once, known files come from the checkpoint."""
-    reader = spark.readStream.schema(_as_text(schema)).options(mode="FAILFAST", **_options(pattern))
-    return _typed(reader.option("maxFilesPerTrigger", max_files_per_trigger).json(path), schema)
+def split_corrupt(records: DataFrame, misfits: Sequence[Misfit] = ()) -> tuple[DataFrame, DataFrame]:
+    """Good records; and what could not be parsed or has no declared shape, with its file. From a read with ``quarantine``."""
+    bad = F.col(CORRUPT).isNotNull()
+    for path, kind, _ in misfits:
+        bad = bad | _misshapen(path, kind)
+    tagged = records.withColumn("bad", F.coalesce(bad, F.lit(False)))
+    content = F.coalesce(F.col(CORRUPT), F.to_json(RECORD)).alias(CORRUPT)
+    return tagged.filter("not bad").drop("bad", CORRUPT), tagged.filter("bad").select(content, *METADATA_COLUMNS)
 
 
-def stream_files(spark: SparkSession, path: str, max_files_per_trigger: int = 1000, pattern: str = FILE_PATTERN) -> DataFrame:
-    """Paths of new landed files as a stream, without their content."""
-    reader = spark.readStream.format("binaryFile").schema(LISTING).options(pathGlobFilter=pattern, recursiveFileLookup=True)
-    return reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path).select(F.col("_metadata.file_path").alias("source_file_path"))
+def found_schema(found: str | None) -> T.DataType | None:
+    """The type that `schema_of_variant_agg` states, objects as structs; None for no records."""
+    if found is None or found == "VOID":
+        return None
+    return T.StructType.fromDDL(f"`{RECORD}` {found.replace('OBJECT<', 'STRUCT<')}")[RECORD].dataType
 
 
 def undeclared(
-    spark: SparkSession,
-    schema: T.StructType,
-    paths: str | Sequence[str],
-    pattern: str = FILE_PATTERN,
-    quarantine: bool = False,
+    spark: SparkSession, schema: T.StructType, paths: str | Sequence[str], pattern: str = FILE_PATTERN, quarantine: bool = False
 ) -> T.StructType:
-    """The declared schema with the fields the files have beyond it, as text, behind those of their object.
+    """The declared schema with the fields the files have beyond it, as text, behind those of their object. Reads the files."""
+    found = read_records(spark, paths, pattern, quarantine).agg(F.schema_of_variant_agg(RECORD)).head()[0]
+    return grown(schema, found_schema(found))
 
-    Reads the files once more, for their field names only.
-    """
-    mode = "DROPMALFORMED" if quarantine else "FAILFAST"
-    reader = spark.read.options(mode=mode, primitivesAsString=True, **_options(pattern))
-    return _grown(schema, reader.json(paths if isinstance(paths, str) else list(paths)).schema)
+
+def misfits(declared: T.DataType, found: T.DataType | None, path: tuple[str, ...] = ()) -> list[Misfit]:
+    """Where some records hold no object or list although one is declared; nulls are neither."""
+    if found is None or isinstance(found, T.NullType) or not isinstance(declared, (T.StructType, T.ArrayType)):
+        return []
+    if type(found) is not type(declared):
+        return [(path, declared, found)]
+    if isinstance(declared, T.ArrayType):
+        return [(path, declared, found)] if misfits(declared.elementType, found.elementType) else []
+    have = {f.name: f.dataType for f in found.fields}
+    return [m for f in declared.fields for m in misfits(f.dataType, have.get(f.name), (*path, f.name))]
+
+
+def _misshapen(path: tuple[str, ...], kind: T.DataType) -> Column:
+    """Whether a record has neither null nor what is declared at the path."""
+    there = F.try_variant_get(RECORD, variant_path(path), "variant")
+    shape = "map<string, variant>" if isinstance(kind, T.StructType) else ddl(as_text(kind))
+    return there.isNotNull() & ~F.is_variant_null(there) & F.try_variant_get(there, "$", shape).isNull()
+
+
+def stream_files(spark: SparkSession, path: str, max_files_per_trigger: int = 1000, pattern: str = FILE_PATTERN) -> DataFrame:
+    """Paths of new landed files as a stream, without their content."""
+    reader = spark.readStream.format("binaryFile").schema(LISTING).options(pathGlobFilter=pattern, recursiveFileLookup=True)
+    return reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path).select(F.col("_metadata.file_path").alias("source_file_path"))
 
 
-def _grown(declared: T.DataType, found: T.DataType) -> T.DataType:
+def grown(declared: T.DataType, found: T.DataType | None) -> T.DataType:
+    """A declared type with the fields that were found beyond it, as text, behind those of their object."""
     if isinstance(declared, T.StructType) and isinstance(found, T.StructType):
         have = {f.name: f.dataType for f in found.fields}
-        own = [T.StructField(f.name, _grown(f.dataType, have.get(f.name))) for f in declared.fields]
-        return T.StructType(own + [T.StructField(n, _as_text(k)) for n, k in have.items() if n not in declared.names])
+        own = [T.StructField(f.name, grown(f.dataType, have.get(f.name))) for f in declared.fields]
+        return T.StructType(own + [T.StructField(n, as_text(k)) for n, k in have.items() if n not in declared.names])
     if isinstance(declared, T.ArrayType) and isinstance(found, T.ArrayType):
-        return T.ArrayType(_grown(declared.elementType, found.elementType))
+        return T.ArrayType(grown(declared.elementType, found.elementType))
     return declared
 
 
@@ -139,20 +188,14 @@ def _arrays(partition_columns: Sequence[str]):
 def write_landing(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write each Arrow batch as a JSON array file; memory is bounded by the batch size.
 
-    ``partition_by`` columns become directories and are left out of the records. The files get the
-    ending that the readers look for once all are written.
+    ``partition_by`` columns become directories and are left out of the records. The files appear
+    when all are written, under names that the readers look for.
     """
     fields = [c for c in df.columns if c not in partition_by]
     record = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value")
     rows = df.select(*(F.col(c).cast("string").alias(c) for c in partition_by), record)
     writer = rows.mapInPandas(_arrays(partition_by), rows.schema).write.option("maxRecordsPerFile", 1)
     writer.partitionBy(*partition_by).mode("append").format("text").option("compression", "none").save(path)
-    fs, folder = hadoop_path(df.sparkSession, path)
-    files = fs.listFiles(folder, True)
-    while files.hasNext():
-        written = files.next().getPath()
-        if written.getName().startswith("part-") and written.getName().endswith(".txt"):
-            fs.rename(written, hadoop_path(df.sparkSession, str(written.toString())[: -len("txt")] + "json")[1])
 
 
 def landed_files(spark: SparkSession, path: str, pattern: str = FILE_PATTERN) -> DataFrame:

@@ -6,15 +6,15 @@ import logging
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayflow.operators.flatten import flatten
-from assayflow.operators.keys import HASH_DIGITS, batch_key, new_records, record_digest
+from assayflow.operators.flatten import flatten, flatten_variant
+from assayflow.operators.keys import HASH_DIGITS, batch_key, new_records
 from assayflow.operators.schema import conform, merge_schemas, schema_changes
-from assayflow.sources.landing import METADATA_COLUMNS, read_landing, split_corrupt, undeclared, with_source_file
-from assayflow.sources.paths import hadoop_path, path_exists
+from assayflow.sources.landing import METADATA_COLUMNS, RECORD, found_schema, grown, misfits, read_records, split_corrupt
+from assayflow.sources.paths import hadoop_path, path_exists, scratch_dir
 from assayflow.sources.registry import Dataset
 from assayflow.sources.tables import BROADCAST_LIMIT, ROW_OVERHEAD
 
@@ -25,11 +25,14 @@ PARTITIONS = T.StructType([T.StructField("ingest_date", T.DateType()), T.StructF
 RECORD_HASH, RECORD_DIGEST = "record_hash", "record_digest"
 
 
-def to_raw(landed: DataFrame, on_collision: str = "last_wins", arrays: str = "last_element") -> DataFrame:
-    """Flat records with the file they came from, the digest of the landed record and its short form."""
-    tagged = with_source_file(landed).withColumn(RECORD_DIGEST, record_digest(landed))
+def to_raw(records: DataFrame, schema: T.StructType, on_collision: str = "last_wins", arrays: str = "last_element") -> DataFrame:
+    """Flat records with the file they came from, the digest of the landed record and its short form.
+
+    The digest is of the whole record, its fields in order of name: an explicit null and an absent field differ.
+    """
+    tagged = records.withColumn(RECORD_DIGEST, F.sha2(F.to_json(RECORD), 256))
     tagged = tagged.withColumn(RECORD_HASH, F.substring(RECORD_DIGEST, 1, HASH_DIGITS))
-    return flatten(tagged.select(*landed.columns, *METADATA_COLUMNS, RECORD_HASH, RECORD_DIGEST), on_collision, arrays)
+    return flatten_variant(tagged.select(RECORD, *METADATA_COLUMNS, RECORD_HASH, RECORD_DIGEST), RECORD, schema, on_collision, arrays)
 
 
 def raw_schema(spark: SparkSession, ds: Dataset, arrays: str) -> T.StructType:
@@ -115,15 +118,35 @@ def ingest_files(
     """Read the listed files in one job and add them to the raw table; returns the batch key.
 
     The key is made of the files' ``names``, by default their paths. Files that were ingested together before, on whatever day, replace
-    what they gave then. A file that is no JSON fails the batch, or with ``quarantine`` goes
-    to ``quarantine/<dataset>`` under the root, never into the raw table.
+    what they gave then. A file that is no JSON, or a record that has no object or list where one is
+    declared, fails the batch, or with ``quarantine`` goes to ``quarantine/<dataset>`` under the root, never into
+    the raw table. The files are read once; fields beyond the declared ones are found in that pass.
     """
     key = batch_key(ds.name, paths if names is None else names)
     day = stored_day(spark, ds.raw_path(root), key) or ingest_date
-    landed = read_landing(spark, undeclared(spark, ds.landing_schema, paths, quarantine=quarantine), paths, quarantine=quarantine)
+    landed, found, folder = parse_once(read_records(spark, paths, quarantine=quarantine))
+    misshapen = misfits(ds.landing_schema, found)
     if quarantine:
-        landed, bad = split_corrupt(landed)
+        landed, bad = split_corrupt(landed, misshapen)
         write_raw(bad.withColumn("ingest_date", F.lit(day)), f"{root}/quarantine/{ds.name}", key)
-    flat = to_raw(landed, arrays=arrays)
+    elif misshapen:
+        told = "; ".join(f"{'.'.join(path) or 'record'} is {was.simpleString()}" for path, _, was in misshapen)
+        raise ValueError(f"malformed records of {ds.name}: {told}")
+    flat = to_raw(landed, grown(ds.landing_schema, found), arrays=arrays)
     add_batch(spark, ds, flat.withColumn("ingest_date", F.lit(day)), root, key, arrays, skip_stored)
+    fs, staged = hadoop_path(spark, folder)
+    fs.delete(staged, True)
     return key
+
+
+def parse_once(records: DataFrame) -> tuple[DataFrame, T.DataType | None, str]:
+    """The records stored as VARIANTs, what fields they have, and the folder: both from one pass over the files."""
+    spark, folder = records.sparkSession, scratch_dir(records.sparkSession, "landed-records")
+    seen = Observation()
+    records.observe(seen, F.schema_of_variant_agg(RECORD).alias("found")).write.parquet(folder)
+    return spark.read.schema(records.schema).parquet(folder), found_schema(seen.get["found"]), folder
+
+
+def stream_raw(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int = 1000) -> DataFrame:
+    """New rows of the raw table as a stream."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)

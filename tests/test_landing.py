@@ -1,0 +1,119 @@
+"""Landed files as VARIANTs: one pass, nothing lost, large files as small ones."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from assayflow.operators.flatten import flatten_variant
+from assayflow.sources import landing
+from assayflow.sources.landing import read_landing, read_records, undeclared, write_landing
+from assayflow.sources.raw import ingest_files, parse_once, raw_schema, scan_raw, stored_schema, to_raw
+from assayflow.sources.registry import Dataset
+from tests.lab_fixture import D1
+
+SCHEMA = T.StructType().add("id", "string").add("q", "double").add("b", T.StructType().add("x", "integer").add("y", "string"))
+RECORDS = [
+    {"id": "a", "q": "12.5", "b": {"x": 1, "y": None}},
+    {"id": "b", "q": 3.10, "b": None, "new": {"z": [1, {"k": 2}], "odd name.": True}},
+    {"b": {"x": "7"}},
+]
+
+
+def variants(spark, *records):
+    return spark.createDataFrame([(json.dumps(r), 1) for r in records], "j string, z int").select(F.parse_json("j").alias("r"), "z")
+
+
+def flat(spark, ddl, *records, **rules):
+    return [tuple(r) for r in flatten_variant(variants(spark, *records), "r", T.StructType.fromDDL(ddl), **rules).drop("z").collect()]
+
+
+def test_explicit_null_replaces_and_absent_keeps(spark):
+    ddl = "v int, b struct<v: int>"
+    assert flat(spark, ddl, {"v": 1, "b": {"v": None}}, {"v": 1, "b": {}}, {"v": 1, "b": None}, {"v": 1}) == [(None,), (1,), (1,), (1,)]
+
+
+def test_lists_give_their_last_present_element(spark):
+    ddl = "v int, l array<struct<k: int, m: array<int>>>, t array<int>, g array<array<int>>"
+    full = {"v": 1, "l": [{"k": 1, "m": [4]}, {"m": []}, {"v": 9}], "t": [1, None], "g": [[1], [2, 3], []]}
+    assert flat(spark, ddl, full, {"l": [{"k": 2}, {"k": None}], "t": [], "g": None}) == [(1, 1, 4, None, 3), (None, None, None, None, None)]
+    assert flat(spark, "l array<int>, a struct<l: int>", {"l": [1, 2], "a": {}}, arrays="keep", on_collision="prefix") == [([1, 2], None)]
+    assert flat(spark, "l int, a struct<l: array<int>>", {"l": 5, "a": {"l": []}}, {"l": 5, "a": {"l": [None]}}) == [(5,), (None,)]
+    with pytest.raises(ValueError, match="a.l"):
+        flat(spark, "l int, a struct<l: int>", {}, on_collision="error")
+
+
+@pytest.mark.parametrize("value", ["abc", 1.5, {"x": 1}, "12.5"])
+def test_text_that_is_no_number_fails(spark, value):
+    with pytest.raises(Exception, match="(?i)cast"):
+        flat(spark, "n int", {"n": value})
+
+
+def land(folder, name, content):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(content if isinstance(content, str) else json.dumps(content))
+
+
+def rows(frame):
+    return sorted(str(tuple(r)) for r in frame.select(sorted(frame.columns)).collect())
+
+
+def test_large_files_give_the_same_records(spark, tmp_path, monkeypatch):
+    land(tmp_path / "in", "small.json", RECORDS)
+    land(tmp_path / "in", "large.json", RECORDS * 50)
+    land(tmp_path / "in", "notes.txt", "not json")
+    folder = str(tmp_path / "in")
+    schema = undeclared(spark, SCHEMA, folder)
+    read = lambda: to_raw(read_records(spark, folder), schema)
+    before = rows(read())
+    assert len(before) == 3 * 51
+    monkeypatch.setattr(landing, "WHOLE_FILE_BYTES", 1000)
+    assert rows(read()) == before and undeclared(spark, SCHEMA, folder) == schema
+    land(tmp_path / "in", "bad.json", '[{"id": ' + " " * 2000)
+    with pytest.raises(Exception, match="(?i)malformed|FAILED_READ"):
+        read().count()
+    kept = read_records(spark, folder, quarantine=True)
+    assert kept.filter(F.col(landing.CORRUPT).isNull()).count() == 3 * 51
+    assert {r.source_file_name for r in kept.filter(F.col(landing.CORRUPT).isNotNull()).collect()} == {"bad.json"}
+
+
+def test_files_are_scanned_once_and_new_fields_seen(spark, tmp_path):
+    land(tmp_path / "in", "a.json", RECORDS)
+    records = read_records(spark, str(tmp_path / "in"))
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan json") == 1 and "Python" not in plan
+    stored, found, _ = parse_once(records)
+    assert "Scan json" not in stored._jdf.queryExecution().executedPlan().toString()
+    names = lambda kind: {f.name for f in kind.fields}
+    assert names(found) == {"id", "q", "b", "new"} and names(found["new"].dataType) == {"z", "odd name."}
+
+
+def test_ingest_keeps_new_fields_and_quarantines_other_shapes(spark, tmp_path):
+    ds = Dataset("things", "id string, q double, b struct<x: int, y: string>, l array<struct<n: int>>", "id")
+    land(tmp_path / "in", "a.json", [*RECORDS, {"id": "c", "b": "text"}, {"id": "d", "l": {"n": 1}}, {"id": "e", "l": [{"n": 4}]}])
+    with pytest.raises(ValueError, match="things: b is"):
+        ingest_files(spark, ds, [str(tmp_path / "in" / "a.json")], str(tmp_path), D1, "last_element")
+    ingest_files(spark, ds, [str(tmp_path / "in" / "a.json")], str(tmp_path), D1, "last_element", quarantine=True)
+    path = ds.raw_path(str(tmp_path))
+    stored = scan_raw(spark, path, stored_schema(spark, path, raw_schema(spark, ds, "last_element")))
+    assert sorted((r.id or "", r.q, r.x, r.z, r["odd name."], r.n) for r in stored.collect()) == [
+        ("", None, 7, None, None, None), ("a", 12.5, 1, None, None, None), ("b", 3.1, None, '{"k":2}', "true", None), ("e", None, None, None, None, 4),
+    ]
+    bad = spark.read.parquet(f"{tmp_path}/quarantine/things").collect()
+    assert sorted(json.loads(r[landing.CORRUPT])["id"] for r in bad) == ["c", "d"]
+
+
+def test_empty_files_and_folders(spark, tmp_path):
+    land(tmp_path / "in", "none.json", [])
+    land(tmp_path / "in", "one.json", {"id": "single"})
+    assert [r.id for r in read_landing(spark, SCHEMA, str(tmp_path / "in")).collect()] == ["single"]
+    stored, found, _ = parse_once(read_records(spark, str(tmp_path / "in" / "none.json")))
+    assert stored.count() == 0 and found is None and landing.grown(SCHEMA, found) == SCHEMA
+
+
+def test_export_is_found_by_the_readers(spark, tmp_path):
+    frame = spark.range(10).select(F.col("id").cast("string").alias("id"), F.lit(1.5).alias("q"), (F.col("id") % 2).alias("day"))
+    write_landing(frame, str(tmp_path / "out"), ["day"])
+    back = read_landing(spark, SCHEMA, str(tmp_path / "out"), with_files=True)
+    assert {(r.id, r.q, r.source_file_path.split("day=")[1][0]) for r in back.collect()} == {(str(i), 1.5, str(i % 2)) for i in range(10)}
