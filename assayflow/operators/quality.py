@@ -7,16 +7,17 @@ checks of one table that need no grouping share one pass over it.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from assayflow.functions import calendar_days
 from assayflow.operators.joins import orphans
+from assayflow.operators.observe import noted
 
 KINDS = ("not_null", "unique", "accepted_values", "relationships", "expression")
 
@@ -68,6 +69,27 @@ def findings(df: DataFrame, checks: Mapping[int, Check]) -> DataFrame:
     return df.select(F.inline(kept)).withColumn("n_rows", F.lit(1).cast("bigint"))
 
 
+class ChecksFailed(Exception):
+    """Rows that must not be published; ``failures`` has how many break each check."""
+
+    def __init__(self, table: str, failures: Mapping[str, int]):
+        self.table, self.failures = table, dict(failures)
+        super().__init__(f"{table}: " + ", ".join(f"{check} ({n})" for check, n in self.failures.items()))
+
+
+ROW_CHECKS = ("not_null", "accepted_values", "expression")
+
+
+def observed(df: DataFrame, checks: Iterable[Check]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The rows, counted by the checks that need no other row while they are written; and what was found, by check, afterwards."""
+    own = {f"{c.column} {c.kind}": c for c in checks if c.kind in ROW_CHECKS}
+    if not own:
+        return df, dict
+    metrics = Observation()
+    counted = df.observe(metrics, *(F.count_if(_finding(c).isNotNull()).alias(f"c{i}") for i, c in enumerate(own.values())))
+    return counted, lambda: {name: n for i, name in enumerate(own) if (n := noted(metrics).get(f"c{i}"))}
+
+
 def _orphan_findings(check_id: int, check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     lost = orphans(tables[check.table], [check.column], tables[check.parent], [check.parent_column])
     value = F.col(check.column).cast("string").alias("value")

@@ -10,8 +10,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayflow.operators.incremental import high_water, since
-from assayflow.operators.quality import freshness, run_checks
+from assayflow.operators.incremental import since
+from assayflow.operators.quality import ROW_CHECKS, Check, ChecksFailed, freshness, observed, run_checks
 from assayflow.plans.checks import FRESHNESS_DAYS, declared_checks
 from assayflow.plans.dimensions import candidate_dim
 from assayflow.plans.facts import fact_results
@@ -24,6 +24,25 @@ from assayflow.sources.tables import Table
 
 UPDATED_AT = "dbt_updated_at"
 BUILT = ("dim_antibody_candidates", "mart_antibody_candidate_summary", "mart_experiment_summary")
+#: Merged tables that are laid out by day, as a load mostly brings new rows.
+BY_DAY = ("fct_screening_results",)
+#: The staged views that come before each merged table.
+STAGES = {
+    "dim_experiments": ("stg_experiments", "int_experiments"),
+    "dim_samples": ("stg_samples",),
+    "dim_stocks": ("stg_stocks",),
+    "fct_screening_results": ("stg_screening_results",),
+}
+#: What each table is made of or checked against, in build order.
+NEEDS = {
+    "dim_experiments": (),
+    "dim_samples": (),
+    "dim_stocks": ("dim_samples",),
+    "fct_screening_results": ("dim_experiments", "dim_samples", "dim_stocks"),
+    "dim_antibody_candidates": ("dim_samples", "dim_stocks"),
+    "mart_antibody_candidate_summary": ("dim_antibody_candidates", "fct_screening_results"),
+    "mart_experiment_summary": ("dim_experiments", "fct_screening_results"),
+}
 
 
 @dataclass(frozen=True)
@@ -47,7 +66,7 @@ class Pipeline:
 
     def table(self, name: str) -> Table:
         keys = {k: v for k, (v, _, _) in self.merged_models.items()}.get(name, ())
-        return Table(self.spark, f"{self.root}/tables/{name}", keys, self.buckets)
+        return Table(self.spark, f"{self.root}/tables/{name}", keys, self.buckets, layout="days" if name in BY_DAY else "keys")
 
     @cached_property
     def merged_models(self) -> dict[str, tuple[tuple[str, ...], str, Callable[[DataFrame], DataFrame]]]:
@@ -67,28 +86,100 @@ class Pipeline:
             ),
         }
 
-    def merge_model(self, name: str, run_ts: datetime, raw: DataFrame | None = None) -> None:
-        """Bring one merged table up to date from the raw days not older than its newest day."""
+    def _slice(self, name: str, raw: DataFrame | None = None) -> DataFrame:
+        """The raw days a merged table has yet to take: all, or those not older than its newest day, as the table states it."""
+        _, dataset, _ = self.merged_models[name]
+        source, target = self.raw(dataset) if raw is None else raw, self.table(name)
+        return since(source, target.newest_day(), self.profile.empty_loads_all) if target.exists() else source
+
+    def merge_model(self, name: str, run_ts: datetime, raw: DataFrame | None = None, gate: bool = False) -> None:
+        """Bring one merged table up to date from the raw days not older than its newest day.
+
+        With ``gate`` the slice must pass the checks of its raw table and staged views first.
+        """
         _, dataset, model = self.merged_models[name]
-        target = self.table(name)
-        source = self.raw(dataset) if raw is None else raw
-        if target.exists():
-            mark = high_water(target.read()).head().high_water
-            source = since(source, mark, self.profile.empty_loads_all)
-        target.merge(stamp(model(source), run_ts))
-
-    def build(self, run_ts: datetime, as_of: date) -> None:
-        """All tables: merge dimensions and fact, then rebuild the wide dimension and the marts."""
-        for name in self.merged_models:
-            self.merge_model(name, run_ts)
-        samples, stocks = self.table("dim_samples").read(), self.table("dim_stocks").read()
-        self.table("dim_antibody_candidates").overwrite(stamp(candidate_dim(samples, stocks, as_of), run_ts))
-        candidates, results = self.table("dim_antibody_candidates").read(), self.table("fct_screening_results").read()
-        self.table("mart_antibody_candidate_summary").overwrite(stamp(candidate_mart(candidates, results), run_ts))
-        experiments = self.table("dim_experiments").read()
-        self.table("mart_experiment_summary").overwrite(stamp(experiment_mart(experiments, results), run_ts))
-        for name in (*self.merged_models, *BUILT):
+        source = self._slice(name, raw)
+        if gate:
+            self._check_slice(name, dataset, source)
+        self._store(name, stamp(model(source), run_ts), gate, merge=True)
+
+    def _check_slice(self, name: str, dataset: str, source: DataFrame) -> None:
+        staged = {
+            "stg_experiments": stage_experiments,
+            "int_experiments": lambda raw: enrich_lifecycle(stage_experiments(raw)),
+            "stg_samples": stage_samples,
+            "stg_stocks": stage_stocks,
+            "stg_screening_results": lambda raw: stage_results(raw, self.profile),
+        }
+        views = {f"raw_{dataset}": source} | {view: staged[view](source) for view in STAGES[name]}
+        checks = [c for c in self.gating if c.table in views]
+        failed = run_checks(views, checks).filter("status = 'fail'").collect()  # at most one row per check
+        if failed:
+            raise ChecksFailed(name, {f"{r.table}.{r.column} {r.check}": r.failures for r in failed})
+
+    @cached_property
+    def gating(self) -> list[Check]:
+        """The checks that a gated build asks for: the declared ones, unless the profile's grain breaks them by design."""
+        return [c for c in declared_checks() if (c.table, c.column, c.kind) not in self.profile.waived]
+
+    def _store(self, name: str, rows: DataFrame, gate: bool, merge: bool) -> None:
+        """Write one table; with ``gate`` publish it only if it passes its checks.
+
+        Checks of single rows are counted while the rows are written, the others read what was written.
+        """
+        table, approve = self.table(name), None
+        if gate:
+            own = [c for c in self.gating if c.table == name]
+            rows, found = observed(rows, own)
+            # A merge has unique keys, or it fails.
+            others = [c for c in own if c.kind not in ROW_CHECKS and not (merge and c.kind == "unique" and [c.column] == table.keys)]
+            parents = {c.parent for c in others if c.parent}
+
+            def approve(written: DataFrame) -> None:
+                failures = found()
+                if others and not failures:
+                    tables = {name: written} | {parent: self.table(parent).read() for parent in parents}
+                    failed = run_checks(tables, others).filter("status = 'fail'").collect()
+                    failures = {f"{r.column} {r.check}": r.failures for r in failed}
+                if failures:
+                    raise ChecksFailed(name, failures)
+
+        table.merge(rows, approve) if merge else table.overwrite(rows, approve)
+
+    def _rebuild(self, name: str, run_ts: datetime, as_of: date, gate: bool) -> None:
+        read = lambda parent: self.table(parent).read()
+        if name == "dim_antibody_candidates":
+            rows = candidate_dim(read("dim_samples"), read("dim_stocks"), as_of)
+        elif name == "mart_antibody_candidate_summary":
+            rows = candidate_mart(read("dim_antibody_candidates"), read("fct_screening_results"))
+        else:
+            rows = experiment_mart(read("dim_experiments"), read("fct_screening_results"))
+        self._store(name, stamp(rows, run_ts), gate, merge=False)
+
+    def build(self, run_ts: datetime, as_of: date, gate: bool = False) -> dict[str, str]:
+        """All tables: merge dimensions and fact, then rebuild the wide dimension and the marts.
+
+        With ``gate`` a table is published only if it passes its declared checks; one that does not
+        keeps its former rows, and what depends on it is skipped. Returns per table "built", what
+        failed, or which table it was skipped for.
+        """
+        outcome: dict[str, str] = {}
+        for name, needs in NEEDS.items():
+            lost = [n for n in needs if outcome[n] != "built"]
+            if lost:
+                outcome[name] = f"skipped: {', '.join(lost)}"
+                continue
+            try:
+                if name in self.merged_models:
+                    self.merge_model(name, run_ts, gate=gate)
+                else:
+                    self._rebuild(name, run_ts, as_of, gate)
+            except ChecksFailed as failed:
+                outcome[name] = f"failed: {failed}"
+                continue
+            outcome[name] = "built"
             self.table(name).expire(self.keep)
+        return outcome
 
     def layers(self) -> dict[str, DataFrame]:
         """Every table by name: raw scans, staging views and stored tables."""

@@ -69,13 +69,13 @@ def _large_files(spark: SparkSession, paths: list[str], pattern: str, quarantine
 
 
 def read_records(
-    spark: SparkSession, paths: str | Sequence[str], pattern: str = FILE_PATTERN, quarantine: bool = False
+    spark: SparkSession, paths: str | Sequence[str], pattern: str = FILE_PATTERN, quarantine: bool = False, any_large: bool = True
 ) -> DataFrame:
     """Files holding one JSON array each: every element as a VARIANT in `record`, and the file it came from.
 
     All paths go into one read. A file is parsed once, by one task, as one value, so land many moderate
     files rather than one huge one; files above WHOLE_FILE_BYTES are parsed once more, for the names of
-    their fields. A file that is no JSON fails the read; with ``quarantine`` it
+    their fields; say so if there are none, and they are not looked for. A file that is no JSON fails the read; with ``quarantine`` it
     becomes a row without record, its content in the column ``_corrupt_record``. Numbers are as any JSON
     parser has them: integers beyond 38 digits are doubles, a decimal has no trailing zeros.
     """
@@ -88,7 +88,7 @@ def read_records(
         reader = reader.options(mode="FAILFAST", singleVariantColumn="landed")
     kept = [CORRUPT] if quarantine else []
     whole = with_source_file(reader.load(paths))
-    large = _large_files(spark, paths, pattern, quarantine)
+    large = _large_files(spark, paths, pattern, quarantine) if any_large else None
     if large is not None:
         whole = _file_size(whole, False)
     # A file may also hold a single object.
@@ -158,9 +158,9 @@ def _misshapen(path: tuple[str, ...], kind: T.DataType) -> Column:
 
 
 def stream_files(spark: SparkSession, path: str, max_files_per_trigger: int = 1000, pattern: str = FILE_PATTERN) -> DataFrame:
-    """Paths of new landed files as a stream, without their content."""
+    """Paths and sizes of new landed files as a stream, without their content."""
     reader = spark.readStream.format("binaryFile").schema(LISTING).options(pathGlobFilter=pattern, recursiveFileLookup=True)
-    return reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path).select(F.col("_metadata.file_path").alias("source_file_path"))
+    return reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path).select(F.col("_metadata.file_path").alias("source_file_path"), "length")
 
 
 def grown(declared: T.DataType, found: T.DataType | None) -> T.DataType:

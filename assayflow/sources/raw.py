@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from assayflow.operators.flatten import flatten, flatten_variant
 from assayflow.operators.keys import HASH_DIGITS, batch_key, new_records
+from assayflow.operators.observe import noted
 from assayflow.operators.schema import conform, merge_schemas, schema_changes
 from assayflow.sources.landing import METADATA_COLUMNS, RECORD, found_schema, grown, misfits, read_records, split_corrupt
 from assayflow.sources.paths import hadoop_path, path_exists, scratch_dir
@@ -114,6 +115,7 @@ def ingest_files(
     skip_stored: bool = False,
     quarantine: bool = False,
     names: Sequence[str] | None = None,
+    any_large: bool = True,
 ) -> str:
     """Read the listed files in one job and add them to the raw table; returns the batch key.
 
@@ -124,7 +126,7 @@ def ingest_files(
     """
     key = batch_key(ds.name, paths if names is None else names)
     day = stored_day(spark, ds.raw_path(root), key) or ingest_date
-    landed, found, folder = parse_once(read_records(spark, paths, quarantine=quarantine))
+    landed, found, folder = parse_once(read_records(spark, paths, quarantine=quarantine, any_large=any_large))
     misshapen = misfits(ds.landing_schema, found)
     if quarantine:
         landed, bad = split_corrupt(landed, misshapen)
@@ -144,7 +146,7 @@ def parse_once(records: DataFrame) -> tuple[DataFrame, T.DataType | None, str]:
     spark, folder = records.sparkSession, scratch_dir(records.sparkSession, "landed-records")
     seen = Observation()
     records.observe(seen, F.schema_of_variant_agg(RECORD).alias("found")).write.parquet(folder)
-    return spark.read.schema(records.schema).parquet(folder), found_schema(seen.get["found"]), folder
+    return spark.read.schema(records.schema).parquet(folder), found_schema(noted(seen).get("found")), folder
 
 
 def stream_raw(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int = 1000) -> DataFrame:

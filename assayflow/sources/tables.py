@@ -1,22 +1,31 @@
 """Tables that are rebuilt or merged, on plain Parquet.
 
-Rows are laid out in buckets of the key. A merge rewrites only the buckets it
+Rows are laid out in parts: buckets of the key, or days. A merge rewrites only the parts it
 touches, into a new version folder, and then publishes a small list of which
-version of each bucket is current. Readers follow the newest list, so they see
+versions of each part are current. Readers follow the newest list, so they see
 either the state before or the state after, and nothing is overwritten while it
 is read. One writer at a time is assumed.
+
+By key, update keys that are spread touch most buckets. By day, a scan of the stored keys finds the
+days that hold updated rows; those are rewritten, and rows of other days are added to
+theirs, so a load that brings new rows only rewrites nothing.
+
+The list also states the newest day of the table, noted while rows are written, so that
+nothing is scanned to learn it.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assayflow.operators.incremental import DuplicateKeyError, any_null, upsert
+from assayflow.operators.incremental import DuplicateKeyError, any_null, high_water, upsert
+from assayflow.operators.observe import noted
 from assayflow.operators.schema import conform, merge_schemas
 from assayflow.sources.paths import hadoop_path
 
@@ -24,13 +33,21 @@ BUCKET = "key_bucket"
 BROADCAST_LIMIT = 32 * 1024 * 1024  # bytes of keys
 DEFAULT_BUCKETS = 8
 ROW_OVERHEAD = 64  # bytes assumed per broadcast key on top of its text
+DAY = "ingest_date"
+LAYOUTS = ("keys", "days")
+
+#: Looks at the rows a table would have and raises to keep them from being published.
+Approval = Callable[[DataFrame], None]
+#: The versions of each part.
+Parts = dict[str, list[int]]
 
 
 class Table:
     """A table under ``path``; ``keys`` and ``buckets`` matter for merged tables only.
 
     Choose ``buckets`` before the first merge so that one bucket holds a few hundred megabytes
-    (DEFAULT_BUCKETS if not given). A stored table keeps its own number of buckets, keys and column types:
+    (DEFAULT_BUCKETS if not given). With ``layout`` "days" a merged table is laid out by ingest day instead.
+    A stored table keeps its own layout, number of buckets, keys and column types:
     asking for other ones is an error, and updates are brought to the stored types.
     """
 
@@ -41,12 +58,16 @@ class Table:
         keys: Sequence[str] = (),
         buckets: int | None = None,
         broadcast_limit: int = BROADCAST_LIMIT,
+        layout: str = "keys",
     ):
+        if layout not in LAYOUTS:
+            raise ValueError(f"layout in {LAYOUTS}")
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self._buckets = buckets
         self.broadcast_limit = broadcast_limit
+        self.layout = layout
 
     @property
     def buckets(self) -> int:
@@ -72,13 +93,15 @@ class Table:
         name = f"{self.path}/current/v{version or versions[-1]:08d}.json"
         return json.loads(self.spark.read.text(name, wholetext=True).head()[0])
 
-    def _list(self, version: int | None = None) -> tuple[T.StructType, dict[int, int]]:
-        """Schema, and the version of each non-empty bucket, as published."""
+    def _list(self, version: int | None = None) -> tuple[T.StructType, Parts]:
+        """Schema, and the versions of each non-empty part, as published."""
         published = self._published(version)
-        return T.StructType.fromJson(published["schema"]), {int(b): v for b, v in published["buckets"].items()}
+        return T.StructType.fromJson(published["schema"]), published["parts"]
 
-    def _publish(self, version: int, schema: T.StructType, n_buckets: int, buckets: dict[int, int]) -> None:
-        layout = {"schema": schema.jsonValue(), "n_buckets": n_buckets, "keys": self.keys, "buckets": buckets}
+    def _publish(self, version: int, schema: T.StructType, n_buckets: int, parts: Parts, newest: dict, approve: Approval | None) -> None:
+        if approve is not None:
+            approve(self._read(schema, parts))
+        layout = {"schema": schema.jsonValue(), "n_buckets": n_buckets, "keys": self.keys, "layout": self.layout, "parts": parts, "newest": newest}
         fs, draft = hadoop_path(self.spark, f"{self.path}/current/.draft-{version:08d}")
         out = fs.create(draft, True)
         out.write(bytearray(json.dumps(layout), "utf-8"))
@@ -87,13 +110,29 @@ class Table:
         if fs.exists(final) or not fs.rename(draft, final):
             raise RuntimeError(f"another writer published version {version} of {self.path}")
 
+    # -- the newest day ----------------------------------------------------------------
+
+    def _noted(self, df: DataFrame) -> tuple[DataFrame, Observation | None]:
+        """The rows, with their first and last day noted while they are written."""
+        if DAY not in df.columns:
+            return df, None
+        days = Observation()
+        return df.observe(days, F.min(DAY).cast("string").alias("first"), F.max(DAY).cast("string").alias("last")), days
+
+    def newest_day(self) -> date | None:
+        """The largest ingest day of the table, NULL days aside; from the published list where that has it."""
+        newest = self._published()["newest"]
+        if "day" in newest:
+            return date.fromisoformat(newest["day"]) if newest["day"] else None
+        return high_water(self.read(), DAY).head().high_water
+
     # -- reading ---------------------------------------------------------------------
 
     def exists(self) -> bool:
         return bool(self._versions())
 
-    def _read(self, schema: T.StructType, buckets: dict[int, int]) -> DataFrame:
-        paths = [f"{self.path}/data/v{v:08d}/{BUCKET}={b}" for b, v in sorted(buckets.items())]
+    def _read(self, schema: T.StructType, parts: Parts) -> DataFrame:
+        paths = [f"{self.path}/data/v{v:08d}/{BUCKET}={part}" for part, versions in sorted(parts.items()) for v in versions]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
@@ -111,14 +150,15 @@ class Table:
         keyed = conform(rows.select(*self.keys), T.StructType([schema[k] for k in self.keys])).filter(~any_null(self.keys))
         size = F.octet_length(F.concat_ws("", *(F.col(k).cast("string") for k in self.keys))) + ROW_OVERHEAD
         # One row per bucket.
-        stats = keyed.groupBy(self._bucket(keyed, self.buckets).alias(BUCKET)).agg(F.sum(size).alias("key_bytes")).collect()
-        touched = {b: v for b, v in current.items() if b in {r[BUCKET] for r in stats}}
+        part = self._by_key(keyed, self.buckets) if self.layout == "keys" else F.lit("")
+        stats = keyed.groupBy(part.cast("string").alias(BUCKET)).agg(F.sum(size).alias("key_bytes")).collect()
+        touched = {b: v for b, v in current.items() if self.layout == "days" or b in {r[BUCKET] for r in stats}}
         keys = F.broadcast(keyed) if sum(r.key_bytes for r in stats) <= self.broadcast_limit else keyed
         return self._read(schema, touched).join(keys, self.keys, "left_semi")
 
     # -- writing ---------------------------------------------------------------------
 
-    def _bucket(self, df: DataFrame, n_buckets: int) -> Column:
+    def _by_key(self, df: DataFrame, n_buckets: int) -> Column:
         """Bucket of a row. Rows with a NULL key are spread by content, not sent to one bucket."""
         by_content = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
         if not self.keys:
@@ -126,6 +166,12 @@ class Table:
         by_key = F.xxhash64(*self.keys)
         return F.pmod(F.when(any_null(self.keys), by_content).otherwise(by_key), F.lit(n_buckets)).cast("int")
 
+    def _part(self, df: DataFrame, n_buckets: int) -> Column:
+        """The part of a row, as text."""
+        if self.layout == "days":
+            return F.coalesce(F.col(DAY).cast("string"), F.lit("none"))
+        return self._by_key(df, n_buckets).cast("string")
+
     def _next_version(self) -> int:
         versions = self._versions()
         return versions[-1] + 1 if versions else 1
@@ -133,73 +179,100 @@ class Table:
     def _write(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/v{version:08d}")
 
-    def overwrite(self, df: DataFrame) -> None:
+    def overwrite(self, df: DataFrame, approve: Approval | None = None) -> None:
         """Replace all rows. Rows are written where they are computed, without a shuffle."""
         version, n_buckets = self._next_version(), self.buckets
-        part = F.pmod(F.spark_partition_id(), F.lit(n_buckets)).cast("int")
-        self._write(df.withColumn(BUCKET, part), version)
-        self._publish(version, df.schema, n_buckets, {b: version for b in self._written(version)})
+        part = F.pmod(F.spark_partition_id(), F.lit(n_buckets)).cast("string")
+        noted, days = self._noted(df)
+        self._write(noted.withColumn(BUCKET, part), version)
+        newest = {} if days is None else {"day": noted(days).get("last")}
+        self._publish(version, df.schema, n_buckets, {b: [version] for b in self._written(version)}, newest, approve)
 
-    def _written(self, version: int) -> list[int]:
+    def _written(self, version: int) -> list[str]:
         fs, folder = hadoop_path(self.spark, f"{self.path}/data/v{version:08d}")
         names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        return [int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")]
+        return [n.split("=")[1] for n in names if n.startswith(f"{BUCKET}=")]
 
-    def _stage(self, updates: DataFrame, path: str, n_buckets: int) -> tuple[DataFrame, dict[int, int]]:
-        """Write the update set once; then reject repeated keys and return the key bytes per bucket."""
-        tagged = updates.withColumn(BUCKET, self._bucket(updates, n_buckets))
-        # Rebalancing groups rows by bucket and splits a bucket that is too big for one task.
+    def _stage(self, updates: DataFrame, path: str, n_buckets: int) -> tuple[DataFrame, dict[str, int], Observation | None]:
+        """Write the update set once; then reject repeated keys and return the key bytes per part, and the days noted."""
+        noted, days = self._noted(updates)
+        tagged = noted.withColumn(BUCKET, self._part(updates, n_buckets))
+        # Rebalancing groups rows by part and splits a part that is too big for one task.
         tagged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
         staged = self.spark.read.schema(tagged.schema).parquet(path)
-        per_key = staged.groupBy(BUCKET, *self.keys).agg(F.count(F.lit(1)).alias("n"))
+        # A key has one bucket, but may have rows on several days.
+        per_key = staged.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"), F.min(BUCKET).alias(BUCKET))
         repeated = F.count_if((F.col("n") > 1) & ~any_null(self.keys)).alias("repeated")
         text = F.octet_length(F.concat_ws("", *(F.col(k).cast("string") for k in self.keys)))
         size = F.sum(text + ROW_OVERHEAD).alias("key_bytes")
-        stats = per_key.groupBy(BUCKET).agg(size, repeated).collect()  # one row per bucket
+        stats = per_key.groupBy(BUCKET).agg(size, repeated).collect()  # one row per part
         if any(row.repeated for row in stats):
             raise DuplicateKeyError(f"{self.path}: update set repeats {sum(r.repeated for r in stats)} keys")
-        return staged, {row[BUCKET]: row.key_bytes for row in stats}
+        return staged, {row[BUCKET]: row.key_bytes for row in stats}, days
 
-    def merge(self, updates: DataFrame) -> None:
+    def merge(self, updates: DataFrame, approve: Approval | None = None) -> None:
         """Replace matching keys, insert the rest, delete nothing.
 
         Update keys whose measured size is small are broadcast, so the stored rows are
         scanned and written without a shuffle. Otherwise stored and new rows of the touched
-        buckets meet in a shuffle by key.
+        parts meet in a shuffle by key. With ``approve`` the rows are shown before they are published.
         """
         version, n_buckets = self._next_version(), self.buckets
         if version == 1:
-            _, keys = self._stage(updates, f"{self.path}/data/v{version:08d}", n_buckets)
-            self._publish(version, updates.schema, n_buckets, {b: version for b in keys})
+            path = f"{self.path}/data/v{version:08d}"
+            _, _, days = self._stage(updates, path, n_buckets)
+            newest = {} if days is None else {"day": noted(days).get("last")}
+            self._publish(version, updates.schema, n_buckets, {b: [version] for b in self._written(version)}, newest, approve)
             return
         published = self._published()
         if published["keys"] != self.keys:
             raise ValueError(f"{self.path} is keyed by {published['keys']}, not {self.keys}")
+        if published["layout"] != self.layout:
+            raise ValueError(f"{self.path} is laid out by {published['layout']}, not by {self.layout}")
         schema, current = self._list()
         # Stored types stay, or keys would hash into other buckets; new columns are added behind.
         grown = merge_schemas(schema, updates.schema)
-        staged, keys = self._stage(conform(updates, grown), f"{self.path}/staged/v{version:08d}", n_buckets)
-        if not keys:
+        staged, key_bytes, days = self._stage(conform(updates, grown), f"{self.path}/staged/v{version:08d}", n_buckets)
+        if not key_bytes:
             return
-        touched = {b: v for b, v in current.items() if b in keys}
-        if touched:
-            # Files of a data folder carry the bucket in their path only; those without a new column give NULL.
-            stored = self._read(grown, touched)
-            stored = stored.withColumn(BUCKET, self._bucket(stored.select(*schema.names), n_buckets))
-            if sum(keys.values()) <= self.broadcast_limit:
-                merged = upsert(stored, staged, self.keys, broadcast_keys=True)
-            else:
-                merged = self._merge_by_key(stored, staged)
+        small = sum(key_bytes.values()) <= self.broadcast_limit
+        if self.layout == "days":
+            rewritten = self._days_of(staged, schema, current, small)
+        else:
+            rewritten = {b: v for b, v in current.items() if b in key_bytes}
+        if rewritten:
+            # Files of a data folder carry the part in their path only; those without a new column give NULL.
+            stored = self._read(grown, rewritten)
+            stored = stored.withColumn(BUCKET, self._part(stored.select(*schema.names), n_buckets))
+            merged = upsert(stored, staged, self.keys, broadcast_keys=True) if small else self._merge_by_key(stored, staged)
         else:
             merged = staged
         self._write(merged, version)
-        self._publish(version, grown, n_buckets, {**current, **{b: version for b in keys}})
+        # What was rewritten replaces all older versions of its part, what is new is added to those of its.
+        kept = {b: v for b, v in current.items() if b not in rewritten}
+        added = {b: [*kept.get(b, []), version] for b in self._written(version)}
+        self._publish(version, grown, n_buckets, kept | added, self._newest_after(published["newest"], days), approve)
+
+    def _days_of(self, staged: DataFrame, schema: T.StructType, current: Parts, small: bool) -> Parts:
+        """The days that hold stored rows of the staged keys, found from the keys alone."""
+        keys = staged.filter(~any_null(self.keys)).select(*self.keys)
+        held = self._read(schema, current).select(*self.keys, DAY).join(F.broadcast(keys) if small else keys, self.keys, "left_semi")
+        days = {r[0] for r in held.select(self._part(held, 0).alias("day")).distinct().collect()}  # at most one row per day
+        return {b: v for b, v in current.items() if b in days}
+
+    @staticmethod
+    def _newest_after(newest: dict, days: Observation | None) -> dict:
+        """The newest day after a merge, if that is certain: no row on the newest day can have moved to an earlier one."""
+        found = noted(days) if days is not None else {}
+        if "day" not in newest or found.get("first") is None or (newest["day"] or "") > found["first"]:
+            return {}
+        return {"day": found["last"]}
 
     def _merge_by_key(self, stored: DataFrame, staged: DataFrame) -> DataFrame:
-        """Stored and new rows meet by key, not by bucket; the write then deals big buckets over several tasks."""
+        """Stored and new rows meet by key, whatever their part; the write then deals big parts over several tasks."""
         both = stored.withColumn("is_update", F.lit(False)).unionByName(staged.withColumn("is_update", F.lit(True)))
         keyed = both.filter(~any_null(self.keys))
-        newest = Window.partitionBy(BUCKET, *self.keys).orderBy(F.col("is_update").desc())
+        newest = Window.partitionBy(*self.keys).orderBy(F.col("is_update").desc())
         first = keyed.withColumn("row_num", F.row_number().over(newest)).filter("row_num = 1").drop("row_num")
         merged = first.unionByName(both.filter(any_null(self.keys))).drop("is_update")
         return merged.hint("rebalance", BUCKET)
@@ -209,7 +282,7 @@ class Table:
         versions = self._versions()
         live = set()
         for v in versions[-keep:]:
-            live |= set(self._list(v)[1].values())
+            live |= {data for held in self._list(v)[1].values() for data in held}
         for v in versions[:-keep]:
             for stale in [f"current/v{v:08d}.json", f"staged/v{v:08d}"] + ([] if v in live else [f"data/v{v:08d}"]):
                 fs, path = hadoop_path(self.spark, f"{self.path}/{stale}")

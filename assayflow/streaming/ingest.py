@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from assayflow.operators.keys import batch_keys
-from assayflow.sources.landing import FILE_PATTERN, stream_files
+from assayflow.sources.landing import FILE_PATTERN, WHOLE_FILE_BYTES, stream_files
 from assayflow.sources.raw import ingest_files
 from assayflow.sources.registry import Dataset
 
@@ -44,11 +44,12 @@ def ingest_stream(
     files = stream_files(spark, ds.landing_path(root), max_files_per_trigger, pattern)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("source_file_path", F.current_date().alias("day")).collect()
+        rows = batch.select("source_file_path", "length", F.current_date().alias("day")).collect()
         if rows:
             names = sorted(r.source_file_path for r in rows)
             paths = [unquote(name) for name in names]
-            ingest_files(batch.sparkSession, ds, paths, root, ingest_date or rows[0].day, arrays, skip_stored, names=names)
+            large, day = any(r.length > WHOLE_FILE_BYTES for r in rows), ingest_date or rows[0].day
+            ingest_files(batch.sparkSession, ds, paths, root, day, arrays, skip_stored, names=names, any_large=large)
 
     return start(files, on_batch, f"{root}/checkpoints/raw-{ds.name}", once)
 

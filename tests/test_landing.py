@@ -56,7 +56,7 @@ def land(folder, name, content):
 
 
 def rows(frame):
-    return sorted(str(tuple(r)) for r in frame.select(sorted(frame.columns)).collect())
+    return sorted(str(tuple(r)) for r in frame.select([f"`{c}`" for c in sorted(frame.columns)]).collect())
 
 
 def test_large_files_give_the_same_records(spark, tmp_path, monkeypatch):
@@ -73,7 +73,7 @@ def test_large_files_give_the_same_records(spark, tmp_path, monkeypatch):
     land(tmp_path / "in", "bad.json", '[{"id": ' + " " * 2000)
     with pytest.raises(Exception, match="(?i)malformed|FAILED_READ"):
         read().count()
-    kept = read_records(spark, folder, quarantine=True)
+    kept, *_ = parse_once(read_records(spark, folder, quarantine=True))
     assert kept.filter(F.col(landing.CORRUPT).isNull()).count() == 3 * 51
     assert {r.source_file_name for r in kept.filter(F.col(landing.CORRUPT).isNotNull()).collect()} == {"bad.json"}
 

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from assayflow.operators.quality import ChecksFailed
 from assayflow.plans.checks import declared_checks
 from assayflow.plans.pipeline import Pipeline
 from assayflow.plans.profiles import COMPAT, PROFILES, STRICT
@@ -149,3 +150,53 @@ def test_empty_target_fills_only_in_strict(spark, tmp_path):
         pipeline.merge_model("dim_samples", RUN, pipeline.raw("samples").filter("false"))
         pipeline.merge_model("dim_samples", RUN)
         assert pipeline.table("dim_samples").read().count() == expected
+
+
+def gated(spark, tmp_path, mark=None):
+    pipeline = Pipeline(spark, str(tmp_path), STRICT, buckets=2)
+    ingest(pipeline, tmp_path, D1)
+    return pipeline
+
+
+def test_a_failed_check_keeps_the_old_version_and_skips_what_depends_on_it(spark, tmp_path):
+    pipeline = gated(spark, tmp_path)
+    # The candidate without stock breaks a declared check of the wide dimension.
+    outcome = pipeline.build(RUN, AS_OF, gate=True)
+    assert outcome["dim_antibody_candidates"] == "failed: dim_antibody_candidates: stock_id not_null (1)"
+    assert outcome["mart_antibody_candidate_summary"] == "skipped: dim_antibody_candidates"
+    assert {t for t, o in outcome.items() if o == "built"} == {*pipeline.merged_models, "mart_experiment_summary"}
+    assert not pipeline.table("dim_antibody_candidates").exists()
+
+    before = sorted(map(str, pipeline.table("dim_experiments").read().collect()))
+    raw = pipeline.raw("experiments")
+    bad = raw.filter("id = 'E2'").withColumns({"status": F.lit("Lost"), "ingest_date": F.lit(D2)})
+    with pytest.raises(ChecksFailed, match="experiment_status accepted_values"):
+        pipeline.merge_model("dim_experiments", RUN, raw.unionByName(bad), gate=True)
+    assert sorted(map(str, pipeline.table("dim_experiments").read().collect())) == before
+
+
+def test_checks_of_rows_are_counted_while_they_are_written(spark, tmp_path):
+    pipeline = gated(spark, tmp_path)
+    pipeline.build(RUN, AS_OF)
+    table = pipeline.table("mart_experiment_summary")
+    rows = table.read()
+    before, nobody = rows.count(), rows.withColumn("experiment_id", F.lit(None).cast("string"))
+    with pytest.raises(ChecksFailed) as failed:
+        pipeline._store("mart_experiment_summary", nobody, gate=True, merge=False)
+    assert failed.value.failures == {"experiment_id not_null": before}
+    assert table.read().filter("experiment_id is null").count() == 0
+    # A stock of an unknown sample: a check against another table, made on what was written.
+    lost = pipeline.raw("stocks").limit(1).withColumns({"id": F.lit("KX"), "sample_id": F.lit("?"), "ingest_date": F.lit(D2)})
+    with pytest.raises(ChecksFailed, match="sample_id relationships .1."):
+        pipeline.merge_model("dim_stocks", RUN, pipeline.raw("stocks").unionByName(lost), gate=True)
+    assert pipeline.table("dim_stocks").read().filter("stock_id = 'KX'").count() == 0
+
+
+def test_later_runs_do_not_scan_the_target(spark, tmp_path):
+    pipeline = gated(spark, tmp_path)
+    pipeline.build(RUN, AS_OF)
+    ingest(pipeline, tmp_path, D2)
+    plan = pipeline._slice("dim_experiments")._jdf.queryExecution().executedPlan().toString()
+    assert "tables/" not in plan and f"{D1}" in plan
+    pipeline.merge_model("dim_experiments", RUN)
+    assert pipeline.table("dim_experiments").newest_day() == D2

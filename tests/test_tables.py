@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +97,64 @@ def test_only_buckets_of_the_wanted_keys_are_read(spark, tmp_path):
     table.merge(spark.range(100).withColumnRenamed("id", "k"))
     found = table.read_matching(spark.createDataFrame([(5,), (None,), (500,)], "k int"))
     assert rows(found) == [(5,)] and len(found.inputFiles()) <= 2
+
+
+D = [dt.date(2024, 5, d) for d in range(1, 6)]
+
+
+def facts(spark, *rows):
+    return spark.createDataFrame([(*r,) for r in rows], "k string, v string, ingest_date date")
+
+
+@pytest.mark.parametrize("limit", [0, 100_000], ids=["shuffled", "broadcast"])
+def test_a_load_rewrites_only_the_days_that_hold_its_keys(spark, tmp_path, limit):
+    make = lambda: Table(spark, f"{tmp_path}/t", ["k"], broadcast_limit=limit, layout="days")
+    make().merge(facts(spark, ("a", "1", D[0]), ("b", "1", D[1]), ("c", "1", D[1]), ("d", "1", D[2]), (None, "n", None)))
+    make().merge(facts(spark, ("e", "1", D[3]), ("f", "1", D[2])))  # new keys only: nothing is rewritten
+    days = lambda version: {p.name.split("=")[1] for p in (tmp_path / f"t/data/v{version:08d}").glob("key_bucket=*")}
+    assert days(2) == {str(D[3]), str(D[2])}
+    make().merge(facts(spark, ("b", "2", D[4]), (None, "m", D[4])))
+    assert days(3) == {str(D[1]), str(D[4])}
+    want = [("a", "1", D[0]), ("b", "2", D[4]), ("c", "1", D[1]), ("d", "1", D[2]), ("e", "1", D[3]), ("f", "1", D[2])]
+    want += [(None, "n", None), (None, "m", D[4])]
+    assert rows(make().read()) == sorted(want, key=str)
+    make().merge(facts(spark, ("c", "2", D[1])))
+    assert days(4) == {str(D[1])}
+    make().expire(keep=1)
+    assert rows(make().read()) == sorted([("c", "2", D[1]) if r[0] == "c" else r for r in want], key=str)
+    assert rows(make().read_matching(facts(spark, ("f", "", D[0]), ("x", "", D[0])))) == [("f", "1", D[2])]
+    with pytest.raises(ValueError, match="laid out by days"):
+        Table(spark, f"{tmp_path}/t", ["k"]).merge(facts(spark, ("z", "1", D[0])))
+    with pytest.raises(DuplicateKeyError):
+        make().merge(facts(spark, ("y", "1", D[0]), ("y", "2", D[1])))
+
+
+def test_the_newest_day_is_published_and_right(spark, tmp_path):
+    table = Table(spark, f"{tmp_path}/t", ["k"], buckets=2)
+    stated = lambda: table._published()["newest"].get("day")
+    table.merge(facts(spark, ("a", "1", D[1]), ("b", "1", None)))
+    assert stated() == str(D[1]) and table.newest_day() == D[1]
+    table.merge(facts(spark, ("c", "1", D[1]), ("d", "1", D[3])))
+    assert stated() == str(D[3]) and table.newest_day() == D[3]
+    table.merge(facts(spark, ("d", "2", D[0])))  # the newest day's only row moves back: not certain, so looked up
+    assert stated() is None and table.newest_day() == D[1]
+    table.overwrite(facts(spark, ("q", "1", D[2])))
+    assert stated() == str(D[2])
+    table.overwrite(facts(spark, ("q", "1", D[2])).filter("false"))
+    assert table.newest_day() is None
+
+
+def test_rows_that_are_not_approved_are_not_published(spark, tmp_path):
+    table = Table(spark, f"{tmp_path}/t", ["k"])
+
+    def refuse(written):
+        assert written.count() == 2
+        raise RuntimeError("no")
+
+    table.merge(facts(spark, ("a", "1", D[0])))
+    for write in (table.merge, table.overwrite):
+        with pytest.raises(RuntimeError, match="no"):
+            write(facts(spark, ("b", "1", D[1])) if write == table.merge else facts(spark, ("b", "1", D[1]), ("c", "1", D[1])), refuse)
+        assert rows(table.read()) == [("a", "1", D[0])]
+    table.merge(facts(spark, ("b", "1", D[1])))
+    assert rows(table.read()) == [("a", "1", D[0]), ("b", "1", D[1])]
