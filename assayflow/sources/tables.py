@@ -183,8 +183,8 @@ class Table:
         """Replace all rows. Rows are written where they are computed, without a shuffle."""
         version, n_buckets = self._next_version(), self.buckets
         part = F.pmod(F.spark_partition_id(), F.lit(n_buckets)).cast("string")
-        noted, days = self._noted(df)
-        self._write(noted.withColumn(BUCKET, part), version)
+        rows, days = self._noted(df)
+        self._write(rows.withColumn(BUCKET, part), version)
         newest = {} if days is None else {"day": noted(days).get("last")}
         self._publish(version, df.schema, n_buckets, {b: [version] for b in self._written(version)}, newest, approve)
 
@@ -195,8 +195,8 @@ class Table:
 
     def _stage(self, updates: DataFrame, path: str, n_buckets: int) -> tuple[DataFrame, dict[str, int], Observation | None]:
         """Write the update set once; then reject repeated keys and return the key bytes per part, and the days noted."""
-        noted, days = self._noted(updates)
-        tagged = noted.withColumn(BUCKET, self._part(updates, n_buckets))
+        rows, days = self._noted(updates)
+        tagged = rows.withColumn(BUCKET, self._part(updates, n_buckets))
         # Rebalancing groups rows by part and splits a part that is too big for one task.
         tagged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
         staged = self.spark.read.schema(tagged.schema).parquet(path)
