@@ -335,11 +335,17 @@ def keep_first(docs: DataFrame, **parameters) -> DataFrame:
 
     All columns of `docs` are kept, which has doc_id and text. Documents are similar if they share at least
     0.8 of their five-word shingles (`LEAST` and `SIMILAR`, unless parameters say otherwise); texts without words are
-    alike. Of repeated rows of one doc_id one is kept; rows without doc_id are kept, as they cannot be told apart.
+    alike. Rows of one doc_id are judged by their texts like any others: those that repeat a text are kept once, a text
+    that is similar to no kept one stays, whatever its doc_id. Rows without doc_id are kept, as they cannot be told apart.
     """
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), whole_text("text").alias("text"))
     kept, _ = staged(similar_texts(texts.withColumn("text_hash", F.xxhash64("text")), **parameters), "simhash-kept")
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_text"))
-    same = (F.col("doc_id") == F.col("kept_id")) & (F.xxhash64(whole_text("text")) == F.col("kept_text"))
-    with_id = docs.where("doc_id is not null").join(kept, same, "left_semi")
-    return with_id.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    # The documents in one column, so that no column of theirs can be taken for one of the join's.
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")
+    rows = docs.where("doc_id is not null").select(
+        whole, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text("text")).alias("text_hash")
+    )
+    # Repeated rows may differ in other columns; the smallest hash of these decides, so that reruns agree.
+    others = [F.col(f"whole.`{c}`").cast("string") for c, kind in docs.dtypes if c != "text" and not kind.startswith(("map", "variant"))]
+    first = rows.join(kept, ["doc_id", "text_hash"], "left_semi").groupBy("doc_id", "text_hash")
+    return first.agg(F.min_by("whole", F.xxhash64(*others)).alias("whole")).select("whole.*").unionByName(docs.where("doc_id is null"))

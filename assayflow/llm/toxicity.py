@@ -1,16 +1,15 @@
 """Toxicity by compression distance: windows of a text under a dictionary of ordinary and one of toxic text.
 
-Two zstandard dictionaries are trained, one on ordinary text, one on what marks toxic text:
-the stretches of words whose letter groups occur in many times the share of toxic documents
-than of ordinary ones. A window is compressed with the ordinary dictionary alone and with both; what
-the toxic one saves is a sign of toxicity. How many windows save how many bytes is
-weighed by a logistic model, fitted on other labelled documents.
+Two zstandard dictionaries of the same size are trained, one on passages of ordinary text, one on what
+sets toxic text apart: the whole words that begin with a stretch of letters found in many times the share of
+toxic documents than of ordinary ones, each with the marked words around it. A window is compressed with
+the ordinary dictionary alone and with both; what the toxic one saves is a sign of toxicity. How many
+windows save how many bytes is weighed by a logistic model, fitted on other labelled documents.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -26,11 +25,17 @@ from assayflow.llm.common import whole_text
 #: The fit takes at most so many labelled documents of each kind for the dictionaries, so many for the
 #: weights, and none longer than so many characters. Scores are of whole texts of any length.
 FIT_DOCS, WEIGHT_DOCS, FIT_CHARS = 1500, 3000, 20_000
-WINDOW_BYTES = 96
-ORDINARY_BYTES, TOXIC_BYTES = 32_768, 1_024
-GROUP = 5
-#: A letter group marks toxicity if its share of toxic documents is at least so much, and so many times the other share.
-LEAST_SHARE, RATIO = 0.008, 20.0
+WINDOW_BYTES = 48
+#: Both dictionaries may take so much; the toxic one is smaller where few words set toxic text apart.
+DICTIONARY_BYTES = 32_768
+#: Shorter stretches are not looked up in a dictionary.
+MIN_MATCH = 6
+#: Beginnings of words have so many bytes at least, the blank before them included, and so many at most.
+LEAST_BYTES, MOST_BYTES = 5, 24
+#: A beginning marks toxicity if its share of toxic documents is at least so much, and so many times the other share.
+LEAST_SHARE, RATIO = 0.03, 20.0
+#: So many bytes of a word are its beginning, written as other bytes than the rest.
+HEAD, APART = 7, bytes(b ^ 0x80 for b in range(256))
 SAVED = (3, 4, 5, 6, 7, 8, 10)
 THRESHOLD = 0.3
 
@@ -40,7 +45,7 @@ def _parameters() -> zstandard.ZstdCompressionParameters:
         write_content_size=False,
         write_checksum=False,
         write_dict_id=False,
-        min_match=5,
+        min_match=MIN_MATCH,
         strategy=zstandard.STRATEGY_GREEDY,
         window_log=17,
         hash_log=15,
@@ -64,47 +69,55 @@ def _train(samples: list[bytes], size: int, **parameters) -> bytes:
         return b" ".join(samples)[-size:]
 
 
+def spelled(text: str) -> list[bytes]:
+    """The words of a lower-case text, a blank before each, their first HEAD bytes written apart from all others.
+
+    What begins a word then matches the beginnings of words only: many a toxic word is made of
+    syllables that ordinary words have inside. Lower-case text has no capitals, so nothing is confused.
+    """
+    return [b" " + word[:HEAD].translate(APART) + word[HEAD:] for word in text.lower().encode("utf-8", "replace").split()]
+
+
 def windows(text: str) -> list[bytes]:
-    """The lower-case text cut between words into windows of about WINDOW_BYTES; every word is in one."""
+    """The spelled text cut between words into windows of about WINDOW_BYTES; every word is in one."""
     out, current, size = [], [], 0
-    for word in text.lower().encode("utf-8", "replace").split():
+    for word in spelled(text):
         current.append(word)
-        size += len(word) + 1
+        size += len(word)
         if size >= WINDOW_BYTES:
-            out.append(b" " + b" ".join(current) + b" ")
+            out.append(b"".join(current) + b" ")
             current, size = [], 0
     if current:
-        out.append(b" " + b" ".join(current) + b" ")
+        out.append(b"".join(current) + b" ")
     return out
 
 
-def _words(text: str) -> list[bytes]:
-    return [b" " + word + b" " for word in text.lower().encode("utf-8", "replace").split()]
+def _beginnings(word: bytes) -> Iterator[bytes]:
+    """A spelled word as a whole, and its beginnings, from the blank before it on."""
+    yield word[:MOST_BYTES] + b" "
+    yield from (word[:end] for end in range(LEAST_BYTES, min(len(word), MOST_BYTES) + 1))
+
 
+def marking_words(toxic: Sequence[str], ordinary: Sequence[str]) -> list[list[bytes]]:
+    """Per toxic document the words, whole and in their order, that have a beginning which marks toxic documents.
 
-def _groups(word: bytes) -> Iterator[bytes]:
-    return (word[i : i + GROUP] for i in range(len(word) - GROUP + 1))
+    A beginning marks them if many times the share of toxic documents has it, or has it in two words or more.
+    """
 
+    def held(texts: Sequence[str]) -> tuple[Counter, Counter]:
+        once, twice = Counter(), Counter()
+        for text in texts:
+            own = Counter(b for w in spelled(text) for b in _beginnings(w))
+            once.update(own.keys())
+            twice.update(b for b, n in own.items() if n > 1)
+        return once, twice
 
-def _marking(toxic: Sequence[str], ordinary: Sequence[str]) -> list[bytes]:
-    """The stretches of toxic documents' words whose letter groups mark them, as often as documents have them."""
-    shares = lambda texts: Counter(g for text in texts for g in {g for w in set(_words(text)) for g in _groups(w)})
-    of_toxic, of_ordinary = shares(toxic), shares(ordinary)
     least = max(min(4, len(toxic)), LEAST_SHARE * len(toxic))
-    marks = {
-        g
-        for g, n in of_toxic.items()
-        if n >= least and n / len(toxic) >= RATIO * (of_ordinary[g] + 0.5) / max(1, len(ordinary))
-    }
-    found: list[bytes] = []
-    for text in toxic:
-        for word in sorted(set(_words(text))):
-            covered = bytearray(len(word))
-            for i in range(len(word) - GROUP + 1):
-                if word[i : i + GROUP] in marks:
-                    covered[i : i + GROUP] = b"\1" * GROUP
-            found += [word[m.start() : m.end()] for m in re.finditer(b"\1+", covered)]
-    return found
+    marks: set[bytes] = set()
+    for of_toxic, of_ordinary in zip(held(toxic), held(ordinary), strict=True):
+        share = lambda b: (of_ordinary[b] + 0.5) / max(1, len(ordinary))
+        marks |= {b for b, n in of_toxic.items() if n >= least and n / len(toxic) >= RATIO * share(b)}
+    return [[w for w in spelled(text) if not marks.isdisjoint(_beginnings(w))] for text in toxic]
 
 
 @dataclass
@@ -125,7 +138,7 @@ class Model:
 
     def features(self, text: str) -> list[float]:
         if self.compressors is None:
-            self.compressors = _compressor(self.ordinary), _compressor(self.ordinary + self.toxic)
+            self.compressors = _compressor(self.ordinary), _compressor(self.toxic + self.ordinary)
         one, both = (c.compress for c in self.compressors)
         saved = np.array([len(one(w)) - len(both(w)) for w in windows(text)] or [0], np.float64)
         n = len(saved)
@@ -145,18 +158,16 @@ class Model:
         rng = np.random.default_rng(42)
         pieces = []
         for text in ordinary[: max(1, len(ordinary) // 2)]:
-            words = text.lower().encode("utf-8", "replace").split()
-            pieces += [b" ".join(words[i : i + 8]) for i in range(0, len(words), 8)]
+            words = spelled(text)
+            pieces += [b"".join(words[i : i + 8]) for i in range(0, len(words), 8)]
         some = [pieces[i] for i in rng.permutation(len(pieces))[:40_000]]
-        marking = _marking(toxic, ordinary) if toxic else []
-        # Training looks for stretches that recur; the marks are short, so they are strung together in changing order.
-        strung: list[bytes] = []
-        while marking and len(strung) < 6000:
-            order = rng.permutation(len(marking))
-            strung += [b"".join(marking[j] for j in order[i : i + 8]) for i in range(0, len(order), 8)]
+        marked = [words for words in marking_words(toxic, ordinary) if words] if toxic else []
+        # Training looks for stretches that recur; a document's marked words follow each other as passages of eight.
+        passages = [b"".join(words[i : i + 8]) for words in marked for i in range(0, len(words), 8)]
+        strung = [passages[i] for at in range(-(-6000 // len(passages))) for i in rng.permutation(len(passages))] if passages else []
         model = cls(
-            _train(some, ORDINARY_BYTES) if some else b"",
-            _train(strung, TOXIC_BYTES, k=50, d=6) if strung else b"",
+            _train(some, DICTIONARY_BYTES) if some else b"",
+            _train(strung, DICTIONARY_BYTES, k=50, d=6) if strung else b"",
             np.zeros(1),
             np.ones(1),
             None,

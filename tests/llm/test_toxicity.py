@@ -70,3 +70,45 @@ def test_query_gives_every_document(spark, sf_dir):
     result = QUERIES["op3_toxicity"](spark, sf_dir)
     assert result.columns == ["doc_id", "held_out", "score", "predicted"]
     assert result.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def test_toxic_words_of_common_syllables(spark):
+    """Toxic words begin with two syllables that ordinary words have inside, and end in any; single such words are ordinary too."""
+    rng = random.Random(4)
+    syllables = ["ach", "lich", "keit", "ung", "be", "ver", "er", "ge", "schü", "tz", "ein", "au"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4)))
+    rows, labels = [], []
+    for i in range(1600):
+        toxic = int(rng.random() < 0.2)
+        words = [w for w in (word() for _ in range(rng.randrange(60, 200))) if not w.startswith("achlich")]
+        for _ in range(rng.randrange(4, 9) if toxic else rng.random() < 0.05):
+            words.insert(rng.randrange(len(words)), "achlich" + word())
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, toxic))
+    docs = documents(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    held = [(r.predicted, labels[r.doc_id][2]) for r in toxicity.score(docs, model).collect() if r.held_out]
+    hit = sum(p and t for p, t in held)
+    assert hit / sum(t for _, t in held) > 0.8 and hit / sum(p for p, _ in held) > 0.8
+
+
+def test_beginnings_are_spelled_apart_without_loss():
+    text = "Áb achlichung x!"
+    assert toxicity.spelled(text)[2] != b" x!" and len(b"".join(toxicity.spelled(text))) == len(text.encode()) + 1
+    back = [w[1 : 1 + toxicity.HEAD].translate(toxicity.APART) + w[1 + toxicity.HEAD :] for w in toxicity.spelled(text)]
+    assert b" ".join(back).decode() == text.lower()
+
+
+def test_held_out_labels_of_the_given_table(spark):
+    """Precision and recall on labels that the fit never saw, by the operator and for every language."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    truth = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = docs.join(truth, "doc_id", "left_semi")
+    found = toxicity.score(known, toxicity.fit(docs, labels)).where("held_out").join(truth, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    rows = [(r.lang, r.toxic, r.predicted) for r in found.collect()]
+    hits = lambda rows: sum(t and p for _, t, p in rows)
+    assert hits(rows) / sum(p for *_, p in rows) > 0.8 and hits(rows) / sum(t for _, t, _ in rows) > 0.7
+    for lang in ("en", "de", "es", "fr"):
+        own = [r for r in rows if r[0] == lang]
+        assert hits(own) / sum(t for _, t, _ in own) > 0.5, lang
