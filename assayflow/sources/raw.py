@@ -24,6 +24,9 @@ PARTITIONS = T.StructType([T.StructField("ingest_date", T.DateType()), T.StructF
 
 
 RECORD_HASH, RECORD_DIGEST = "record_hash", "record_digest"
+#: Folder of a compacted day, the column with the batch of its rows, and the folder that lists these batches.
+CLOSED, BATCH_KEY, CLOSED_BATCHES = "closed", "batch_key", "_closed"
+CLOSED_DDL = f"{BATCH_KEY} string, day string"
 
 
 def to_raw(records: DataFrame, schema: T.StructType, on_collision: str = "last_wins", arrays: str = "last_element") -> DataFrame:
@@ -60,27 +63,88 @@ def write_raw(df: DataFrame, path: str, batch: str, spread_by: str | None = None
     writer.partitionBy(*PARTITIONS.fieldNames()).parquet(path)
 
 
+def _with_own_batch(rows: DataFrame) -> DataFrame:
+    """The rows of compacted days under the batch they came with."""
+    return rows.withColumn("source_batch", F.coalesce(BATCH_KEY, "source_batch")).drop(BATCH_KEY)
+
+
 def scan_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The raw table under its declared schema; files lacking a column give NULL.
 
     A filter on ``ingest_date`` prunes partitions.
     """
-    return spark.read.schema(schema).parquet(path)
+    return _with_own_batch(spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH_KEY, T.StringType())])).parquet(path))
 
 
 def stored_schema(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
     """The declared schema and what undeclared columns stored files have besides; opens every file's footer."""
-    return merge_schemas(schema, spark.read.option("mergeSchema", True).parquet(path).schema)
+    found = merge_schemas(schema, spark.read.option("mergeSchema", True).parquet(path).schema)
+    return T.StructType([f for f in found.fields if f.name != BATCH_KEY])
 
 
 def stored_day(spark: SparkSession, path: str, batch: str) -> date | None:
-    """The ingest day under which a batch is stored already."""
+    """The ingest day under which a batch is stored already, in a folder of its own or in a compacted day."""
     fs, pattern = hadoop_path(spark, f"{path}/ingest_date=*/source_batch={batch}")
-    found = fs.globStatus(pattern) or []
-    days = [str(s.getPath().getParent().getName()).split("=")[1] for s in found]
+    days = [str(s.getPath().getParent().getName()).split("=")[1] for s in fs.globStatus(pattern) or []]
+    if not days and path_exists(spark, f"{path}/{CLOSED_BATCHES}"):
+        closed = spark.read.schema(CLOSED_DDL).parquet(f"{path}/{CLOSED_BATCHES}")
+        days = [r.day for r in closed.filter(F.col(BATCH_KEY) == batch).select("day").collect()]
     return date.fromisoformat(min(days)) if days else None
 
 
+def _close(spark: SparkSession, path: str, day: date, rows: DataFrame, gone: list[str]) -> None:
+    """Put the rows in place of folders of a day, and note which batches they have.
+
+    The rows are complete in a hidden folder before anything is deleted. Between the deletion and the renaming, two
+    calls, the day has no rows for a reader; one writer at a time is assumed.
+    """
+    draft, final = f"{path}/_compacting-{day}", f"{path}/ingest_date={day}/source_batch={CLOSED}"
+    rows.hint("rebalance").write.mode("overwrite").parquet(draft)
+    batches = spark.read.schema(rows.schema).parquet(draft).select(BATCH_KEY, F.lit(str(day)).alias("day")).distinct()
+    batches.write.mode("overwrite").parquet(f"{path}/{CLOSED_BATCHES}/closed_on={day}")
+    fs, source = hadoop_path(spark, draft)
+    for name in gone:
+        fs.delete(hadoop_path(spark, f"{path}/ingest_date={day}/{name}")[1], True)
+    if not fs.rename(source, hadoop_path(spark, final)[1]):
+        raise RuntimeError(f"the compacted rows of {day} are in {draft}")
+
+
+def _day_rows(spark: SparkSession, path: str, day: date) -> DataFrame:
+    """All rows of a day with all columns its files have, each with its batch."""
+    folder = f"{path}/ingest_date={day}"
+    found = spark.read.option("mergeSchema", True).parquet(folder).schema
+    fields = [f for f in found.fields if f.name not in ("source_batch", BATCH_KEY)]
+    whole = T.StructType(fields).add("source_batch", T.StringType()).add(BATCH_KEY, T.StringType())
+    rows = spark.read.schema(whole).option("basePath", folder).parquet(folder)
+    return _with_own_batch(rows).withColumnRenamed("source_batch", BATCH_KEY)
+
+
+def compact_days(spark: SparkSession, path: str, before: date) -> list[date]:
+    """Rewrite every day before the given one that has folders of single batches as one folder of few files.
+
+    A batch stays its own: its key is a column, and a batch that runs again replaces its rows, as before.
+    Returns the days that were rewritten. Streams of the raw table do not read rows a second time.
+    """
+    fs, pattern = hadoop_path(spark, f"{path}/ingest_date=*/source_batch=*")
+    folders: dict[str, list[str]] = {}
+    for status in fs.globStatus(pattern) or []:
+        folder = status.getPath()
+        folders.setdefault(str(folder.getParent().getName()).split("=")[1], []).append(str(folder.getName()))
+    days = sorted(d for d, names in folders.items() if d < str(before) and names != [f"source_batch={CLOSED}"])
+    for day in days:
+        _close(spark, path, day, _day_rows(spark, path, day), folders[day])
+    return [date.fromisoformat(d) for d in days]
+
+
+def _reopen(spark: SparkSession, path: str, day: date, batch: str) -> None:
+    """Take a batch that will be written again out of a compacted day."""
+    closed = f"ingest_date={day}/source_batch={CLOSED}"
+    if not path_exists(spark, f"{path}/{closed}") or path_exists(spark, f"{path}/ingest_date={day}/source_batch={batch}"):
+        return
+    rows = spark.read.option("mergeSchema", True).parquet(f"{path}/{closed}").filter(F.col(BATCH_KEY) != batch)
+    _close(spark, path, day, rows, [f"source_batch={CLOSED}"])
+
+
 def add_batch(
     spark: SparkSession, ds: Dataset, rows: DataFrame, root: str, batch: str, arrays: str, skip_stored: bool = False
 ) -> None:
@@ -102,6 +166,8 @@ def add_batch(
         rows = new_records(rows, stored, keys, broadcast_keys=small).select(*rows.columns)
     elif skip_stored:
         rows = rows.dropDuplicates(list(keys))
+    for day in {r[0] for r in rows.select("ingest_date").distinct().collect()} if path_exists(spark, f"{path}/{CLOSED_BATCHES}") else ():
+        _reopen(spark, path, day, batch)
     write_raw(rows, path, batch)
 
 
@@ -150,5 +216,6 @@ def parse_once(records: DataFrame) -> tuple[DataFrame, T.DataType | None, str]:
 
 
 def stream_raw(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int = 1000) -> DataFrame:
-    """New rows of the raw table as a stream."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
+    """New rows of the raw table as a stream; those of compacted days have been there before."""
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
+    return rows.filter(F.col("source_batch") != CLOSED)

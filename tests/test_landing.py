@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 from assayflow.operators.flatten import flatten_variant
 from assayflow.sources import landing
 from assayflow.sources.landing import read_landing, read_records, undeclared, write_landing
-from assayflow.sources.raw import ingest_files, parse_once, raw_schema, scan_raw, stored_schema, to_raw
+from assayflow.sources.raw import compact_days, ingest_files, parse_once, raw_schema, scan_raw, stored_schema, to_raw
 from assayflow.sources.registry import Dataset
-from tests.lab_fixture import D1
+from tests.lab_fixture import D1, D2
 
 SCHEMA = T.StructType().add("id", "string").add("q", "double").add("b", T.StructType().add("x", "integer").add("y", "string"))
 RECORDS = [
@@ -117,3 +117,26 @@ def test_export_is_found_by_the_readers(spark, tmp_path):
     write_landing(frame, str(tmp_path / "out"), ["day"])
     back = read_landing(spark, SCHEMA, str(tmp_path / "out"), with_files=True)
     assert {(r.id, r.q, r.source_file_path.split("day=")[1][0]) for r in back.collect()} == {(str(i), 1.5, str(i % 2)) for i in range(10)}
+
+
+def test_compacted_days_keep_their_batches(spark, tmp_path):
+    ds = Dataset("things", "id string, q double", "id")
+    path = ds.raw_path(str(tmp_path))
+    for i, record in enumerate([{"id": "a", "q": 1}, {"id": "b", "q": 2, "more": "x"}, {"id": "c", "q": 3}]):
+        land(tmp_path / "in", f"{i}.json", [record])
+        ingest_files(spark, ds, [str(tmp_path / "in" / f"{i}.json")], str(tmp_path), D1 if i < 2 else D2, "last_element")
+    schema = lambda: stored_schema(spark, path, raw_schema(spark, ds, "last_element"))
+    rows_now = lambda: sorted((r.id, r.q, r.more, str(r.ingest_date), r.source_batch) for r in scan_raw(spark, path, schema()).collect())
+    folders = lambda day: sorted(p.name for p in (tmp_path / f"raw/things/ingest_date={day}").iterdir() if p.is_dir())
+    before = rows_now()
+    assert len(before) == 3 and len(folders(D1)) == 2
+    assert compact_days(spark, path, D2) == [D1] and compact_days(spark, path, D2) == []
+    assert folders(D1) == ["source_batch=closed"] and len(folders(D2)) == 1 and rows_now() == before
+    # The first batch runs again on a later day, with other content: its rows are replaced, on their day.
+    land(tmp_path / "in", "0.json", [{"id": "a", "q": 9}])
+    ingest_files(spark, ds, [str(tmp_path / "in" / "0.json")], str(tmp_path), D2, "last_element")
+    replaced = [(r[0], 9.0, *r[2:]) if r[0] == "a" else r for r in before]
+    assert rows_now() == replaced and len(folders(D1)) == 2
+    assert compact_days(spark, path, D2) == [D1] and rows_now() == replaced and folders(D1) == ["source_batch=closed"]
+    raw = scan_raw(spark, path, schema()).filter(F.col("ingest_date") == F.lit(D2))
+    assert "PartitionFilters: [isnotnull(ingest_date" in raw._jdf.queryExecution().executedPlan().toString()
