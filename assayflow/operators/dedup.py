@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _is_orderable(kind: T.DataType) -> bool:
+def is_orderable(kind: T.DataType) -> bool:
+    """Whether values of a type can be compared."""
     if isinstance(kind, T.ArrayType):
-        return _is_orderable(kind.elementType)
+        return is_orderable(kind.elementType)
     if isinstance(kind, T.StructType):
-        return all(_is_orderable(f.dataType) for f in kind.fields)
+        return all(is_orderable(f.dataType) for f in kind.fields)
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
@@ -33,7 +34,7 @@ def dedup(
     map task sends at most one row per key, however hot the key is.
     """
     if tie_break is None:
-        tie_break = [f.name for f in df.schema.fields if f.name not in keys and _is_orderable(f.dataType)]
+        tie_break = [f.name for f in df.schema.fields if f.name not in keys and is_orderable(f.dataType)]
     order = [*order_by, *(F.col(f"`{c}`").asc_nulls_last() for c in tie_break)]
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("row_num", F.row_number().over(window)).filter("row_num = 1").drop("row_num")

@@ -17,10 +17,11 @@ from assayflow.sources.registry import Dataset
 POLL_SECONDS = 300
 
 
-def start(df: DataFrame, on_batch, checkpoint: str, once: bool) -> StreamingQuery:
+def start(df: DataFrame, on_batch, checkpoint: str, once: bool, mode: str = "append") -> StreamingQuery:
     """Run ``on_batch`` for what is there now (``once``) or poll for new files for ever."""
     trigger = {"availableNow": True} if once else {"processingTime": f"{POLL_SECONDS} seconds"}
-    return df.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    writer = df.writeStream.outputMode(mode).foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
 
 
 def ingest_stream(

@@ -13,7 +13,7 @@ from assayflow.sources.raw import write_raw
 from assayflow.sources.registry import DATASETS
 from assayflow.sources.tables import Table
 from assayflow.streaming.ingest import batch_lineage, ingest_stream
-from assayflow.streaming.merge import merge_batch, merge_stream
+from assayflow.streaming.merge import merge_batch, merge_newest_stream, merge_stream, newest_stream
 from tests.lab_fixture import D1, D2, ingest, land
 
 
@@ -149,3 +149,70 @@ def test_a_change_in_an_undeclared_field_is_kept(spark, tmp_path):
     path = ds.raw_path(str(tmp_path))
     rows = scan_raw(spark, path, stored_schema(spark, path, raw_schema(spark, ds, "last_element"))).collect()
     assert sorted((r.quantity, r.grade or "") for r in rows) == [(12.5, ""), (12.5, "x"), (12.5, "y")]
+
+
+def _stream(spark, folder):
+    return spark.readStream.schema("k int, day int, note string").option("maxFilesPerTrigger", 1).json(str(folder))
+
+
+def _land(folder, name, *rows):
+    time.sleep(1.1)  # the source takes files by their times, in seconds
+    (folder / f"{name}.json").write_text("\n".join(json.dumps(dict(zip(("k", "day", "note"), r))) for r in rows))
+
+
+def test_state_lets_newer_versions_pass_only_also_after_a_restart(spark, tmp_path):
+    landing, passed = tmp_path / "in", []
+    landing.mkdir()
+
+    def go():
+        newest = newest_stream(_stream(spark, landing), ["k"], ["day"]).writeStream.outputMode("update")
+        keep = lambda batch, _: passed.append(sorted(map(tuple, batch.collect()), key=str))
+        newest.foreachBatch(keep).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+
+    _land(landing, "1", (1, 5, "a"), (1, 4, "b"), (2, None, "c"), (None, 1, "d"))
+    _land(landing, "2", (1, 3, "late"), (1, 5, "tie"), (2, 0, "newer than null"), (None, 1, "d"))
+    go()
+    _land(landing, "3", (1, 5, "tie"), (2, -1, "late"), (3, 1, "new"))
+    go()
+    _land(landing, "4", (1, 5, "a"), (2, 0, "newer than null"))
+    go()
+    assert passed == [[(1, 5, "a"), (2, None, "c"), (None, 1, "d")], [(2, 0, "newer than null")], [(3, 1, "new")], []]
+
+
+def test_late_versions_rewrite_no_bucket(spark, tmp_path):
+    landing, table = tmp_path / "in", Table(spark, f"{tmp_path}/t", ["k"], buckets=4)
+    landing.mkdir()
+    files = lambda: sorted(str(p) for p in (tmp_path / "t").rglob("*.parquet"))
+    go = lambda cp="cp": merge_newest_stream(_stream(spark, landing), table, ["day"], f"{tmp_path}/{cp}").awaitTermination()
+    _land(landing, "1", *[(k, 5, "first") for k in range(40)])
+    go()
+    before = files()
+    _land(landing, "2", *[(k, 4, "late") for k in range(40)])
+    go()
+    assert files() == before
+    _land(landing, "3", (7, 6, "newer"))
+    go()
+    expected = [(k, 6, "newer") if k == 7 else (k, 5, "first") for k in range(40)]
+    assert sorted(map(tuple, table.read().collect())) == expected
+    go("fresh")  # all files again, without the state: the stored versions compete
+    assert sorted(map(tuple, table.read().collect())) == expected
+
+
+def test_a_batch_that_failed_runs_again_with_its_versions(spark, tmp_path):
+    landing, seen = tmp_path / "in", []
+    landing.mkdir()
+    _land(landing, "1", (1, 1, "a"), (2, 1, "b"))
+
+    def go(fail):
+        def keep(batch, _):
+            seen.append(sorted(map(tuple, batch.collect())))
+            if fail:
+                raise RuntimeError("lost")
+
+        newest = newest_stream(_stream(spark, landing), ["k"], ["day"]).writeStream.outputMode("update")
+        newest.foreachBatch(keep).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+
+    with pytest.raises(Exception, match="lost"):
+        go(True)
+    go(False)
+    assert seen == [[(1, 1, "a"), (2, 1, "b")]] * 2
