@@ -5,7 +5,7 @@ cell of each of three rows of a sketch; a cell keeps how many it got, their excl
 that of their check sums. The sketches of two versions subtract cell by cell, which leaves
 what differs. A cell with a single digest left gives it away; taking it out of its other cells
 frees more of them, until nothing is left or the sketch was too small. Then the digests
-are dealt over eight sketches, a larger one in all, and what fails again over eight each.
+are dealt over two, four or eight sketches by their number, a larger one in all, and what fails again over more.
 
 All of it happens within a row: texts are shuffled once, to find the next document.
 """
@@ -23,6 +23,8 @@ from assayflow.llm.common import staged, whole_text
 PIECE = r"[^\s]{1,64}+(?:[ \t]++[^\s]{1,64}+){0,15}+"
 #: Cells of a row of a sketch, rows, steps of peeling, sketches a failing one is dealt over, and how often.
 WIDTH, ROWS, STEPS, FAN, DEPTH = 16, 3, 12, 8, 6
+#: Digests of both sides together that each dealt sketch of two or four is to get at most.
+LOAD = 24
 #: Documents of one stretch of ids, within which each one's next is looked up.
 STRETCH = 1024
 
@@ -116,15 +118,22 @@ def peel(cells: Column, level: Column) -> Column:
 
 
 def _dealt(a: Column, b: Column, level: Column) -> Column:
-    """Two arrays of digests as FAN pairs of arrays, by the next bits of the digests."""
-    part = lambda keys, g: F.filter(keys, lambda k: F.pmod(F.call_function("shiftrightunsigned", F.xxhash64(k, F.lit("part")), level * 3), F.lit(FAN)) == g)
-    return F.transform(F.sequence(F.lit(0), F.lit(FAN - 1)), lambda g: F.struct(part(a, g).alias("a"), part(b, g).alias("b")))
+    """Two arrays of digests as up to FAN pairs of arrays, by the next bits of the digests; fewer where few digests can differ."""
+    n = F.size(a) + F.size(b)
+    fan = F.when(n <= 2 * LOAD, 2).when(n <= 4 * LOAD, 4).otherwise(FAN)
+    bits = lambda k: F.call_function("shiftrightunsigned", F.xxhash64(k, F.lit("part")), level * 3)
+
+    def parts(fan: Column) -> Column:
+        part = lambda keys, g: F.filter(keys, lambda k: F.pmod(bits(k), fan) == g)
+        return F.transform(F.sequence(F.lit(0), fan - 1), lambda g: F.struct(part(a, g).alias("a"), part(b, g).alias("b")))
+
+    return let(fan, parts)
 
 
 def difference(a_cells: Column, b_cells: Column, a: Column, b: Column) -> Column:
     """first and second: how many digests only `a` and only `b` have, from their sketches, or larger ones where those fail.
 
-    After DEPTH times larger ones, eight times as large each, what still fails is compared digest by digest.
+    After DEPTH times larger ones, up to eight times as large each, what still fails is compared digest by digest.
     """
 
     def step(state: Column, level: Column) -> Column:
