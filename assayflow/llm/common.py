@@ -15,15 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(frame: DataFrame, purpose: str) -> tuple[DataFrame, str]:
-    """The frame written once to the folder all executors share, and that folder.
+def staged(frame: DataFrame, purpose: str, **options) -> tuple[DataFrame, str]:
+    """The frame written once to the folder all executors share, and that folder; `options` are the writer's.
 
     Cuts the lineage, so that a lost executor costs a reread and no recomputation,
     and lets a result be used several times without being computed again.
     """
     spark = frame.sparkSession
     path = scratch_dir(spark, purpose)
-    frame.write.option("compression", "zstd").parquet(path)
+    frame.write.options(**options).option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path), path
 
 

@@ -102,3 +102,30 @@ def test_escape_leaves_no_marker(spark):
     texts = spark.createDataFrame([(t,) for t in TRICKY if t is not None], "t string")
     found = texts.select("t", chat.escape(F.col("t")).alias("e"), chat.unescape(chat.escape(F.col("t"))).alias("b")).collect()
     assert all("<" not in r.e and r.b == r.t for r in found)
+
+
+@pytest.mark.parametrize("part_chars", [65_536, 40])
+def test_query_writes_every_context_out(spark, monkeypatch, part_chars):
+    monkeypatch.setattr(chat, "PART_CHARS", part_chars)
+    esc = lambda s: s.replace("\\", "\\b").replace("<", "\\l")
+    rows = rows_of(4, 90)
+    expected = []
+    for conv, turns in in_order(rows).items():
+        pieces = ["<turn>" + esc(r).replace("\n", "\\n") + "\n" + esc(t) + "</turn>\n" for r, t in turns]
+        expected += [
+            (conv, i + 1, "".join(pieces[:i]), pieces[i])
+            for i, (r, _) in enumerate(turns)
+            if r == "assistant" or i + 1 == len(turns)
+        ]
+    written = chat.write_examples(table(spark, rows))
+    assert (written.agg(F.max("part")).first()[0] > 0) == (part_chars == 40)
+    whole = chat.assemble(written).select("conv_id", "position", "context", "target").collect()
+    assert sorted(map(tuple, whole), key=str) == sorted(expected, key=str)
+    assert sorted(map(tuple, chat.read_digests(written).collect()), key=str) == plain(rows)
+
+
+def test_a_wrong_written_context_shows_in_the_digests(spark):
+    written = chat.write_examples(table(spark, rows_of(5, 60)))
+    right = sorted(map(tuple, chat.read_digests(written).collect()), key=str)
+    cut = written.withColumn("context", F.when(F.col("position") == 2, F.lit("")).otherwise(F.col("context")))
+    assert right and sorted(map(tuple, chat.read_digests(cut).collect()), key=str) != right
