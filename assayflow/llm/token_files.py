@@ -20,6 +20,7 @@ attempt are in no index row.
 from __future__ import annotations
 
 import os
+import string
 import struct
 import uuid
 import zlib
@@ -43,7 +44,7 @@ BLOCK_IDS, FILE_IDS, FILE_DOCS = 65_536, 1 << 25, 1 << 20
 READ_BLOCKS = 16
 #: Texts are encoded together up to so many bytes, new runs so many in one text.
 BATCH_BYTES, JOINED = 8 << 20, 500
-#: Runs that a Python worker remembers, and bytes of them, before it starts anew.
+#: Runs that a Python worker remembers, and bytes of them, before it keeps the half that texts repeat most.
 REMEMBERED, REMEMBERED_BYTES = 500_000, 16 << 20
 
 INDEX = "part int, seq int, file string, n_docs long, n_ids long, n_bytes long"
@@ -183,14 +184,15 @@ class Encoder:
     """Token ids of many texts at once, as the tokenizer of a byte-level definition gives them.
 
     Such a tokenizer always cuts between a character that is not white space and a blank or line
-    feed, so texts are cut there into runs, and every different run is encoded once. Runs are found
-    and told apart over whole arrays; Python sees only the different ones. New ones are encoded
-    many together, as what is cut may also be joined, and parted by the bytes that their ids stand for.
+    feed, and its own pattern between an ASCII letter and a sign, so texts are cut there into runs, and
+    every different run is encoded once. Runs are found and told apart over whole arrays; Python sees
+    only the different ones. New ones are encoded many together, as what is cut may also be joined, and
+    parted by the bytes that their ids stand for. Runs met in most batches are remembered longest.
     """
 
     def __init__(self, definition: str, end_id: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a process for each core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
@@ -201,16 +203,40 @@ class Encoder:
         if any(t.lstrip or t.rstrip or any(c.isspace() for c in t.content) for t in added.values()):
             raise ValueError("an added token takes white space, so texts cannot be cut there")
         self.bits = id_bits(max(*vocabulary.values(), end_id) + 1)
+        # Signs cut off the letter before them: never the apostrophe, or what an added token may hold.
+        cutter = self.tokenizer.pre_tokenizer
+        self.signs = np.zeros(256, bool)
+        if self.tokenizer.normalizer is None and isinstance(cutter, pre_tokenizers.ByteLevel) and cutter.use_regex:
+            held = {"'", *(c for t in added.values() for c in t.content)}
+            self.signs[[ord(c) for c in string.punctuation if c not in held]] = True
         # A sign of a byte-level piece is a byte of the text.
         self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for piece, number in vocabulary.items():
             self.widths[number] = len(added[number].content.encode()) if number in added else len(piece)
-        self._forget()
+        # Runs seen, with their numbers in order; the ids of all, one after the other; where those of each begin and
+        # end; the batches that had each, halved whenever others are forgotten.
+        self.store: dict[bytes, int] = {}
+        self.pool, self.bounds, self.met = np.empty(0, np.uint32), np.zeros(1, np.int64), np.empty(0, np.int32)
+        self.stored_bytes = 0
 
     def _forget(self) -> None:
-        """Runs seen, by their number; the ids of all, one after the other; where those of each begin and end."""
-        self.store: dict[bytes, int] = {}
-        self.pool, self.bounds, self.stored_bytes = np.empty(0, np.uint32), np.zeros(1, np.int64), 0
+        """Keep the runs that most batches had, the latest of equal ones, up to half of what may be remembered."""
+        runs = list(self.store)
+        best = np.argsort(self.met, kind="stable")[::-1][: REMEMBERED // 2]
+        sizes = np.cumsum([len(runs[i]) for i in best.tolist()])
+        kept = np.sort(best[sizes <= REMEMBERED_BYTES // 2])
+        self.pool, counts = self._stored(kept)
+        self.bounds, self.met = np.append(0, np.cumsum(counts)), self.met[kept] // 2
+        self.store = {runs[i]: number for number, i in enumerate(kept.tolist())}
+        self.stored_bytes = sum(map(len, self.store))
+
+    def _stored(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of runs by number, one run after the other, and how many each has."""
+        begin = self.bounds[numbers]
+        own = self.bounds[numbers + 1] - begin
+        # Each run's ids are a stretch of the pool.
+        ahead = np.cumsum(own)
+        return self.pool[np.repeat(begin - (ahead - own), own) + np.arange(ahead[-1] if len(ahead) else 0)], own
 
     @staticmethod
     def solid(data: np.ndarray) -> np.ndarray:
@@ -224,11 +250,12 @@ class Encoder:
         out[2:] |= tail[2:] & (data[:-2] >= 0xE4) & (data[:-2] < 0xF0)
         return out
 
-    @classmethod
-    def run_starts(cls, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def run_starts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Where runs begin in the bytes of texts laid one after the other; the texts begin at `starts`."""
+        letter = ((data | 0x20) >= 0x61) & ((data | 0x20) <= 0x7A)
         cut = np.zeros(len(data), bool)
-        cut[1:] = cls.solid(data)[:-1] & ((data[1:] == 0x20) | (data[1:] == 0x0A))
+        cut[1:] = self.solid(data)[:-1] & ((data[1:] == 0x20) | (data[1:] == 0x0A))
+        cut[1:] |= letter[:-1] & self.signs[data[1:]]
         cut[starts[starts < len(data)]] = True
         return np.flatnonzero(cut)
 
@@ -253,22 +280,22 @@ class Encoder:
 
     def _numbers(self, runs: pa.Array) -> np.ndarray:
         """The numbers of different runs in the store, which new ones enter."""
+        if len(self.store) > REMEMBERED or self.stored_bytes > REMEMBERED_BYTES:
+            self._forget()
         offsets = np.frombuffer(runs.buffers()[1], np.int32, len(runs) + 1, 4 * runs.offset)
         data = np.frombuffer(runs.buffers()[2] or b"", np.uint8)
-        values = runs.to_pylist()
+        values = runs.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist
         numbers = np.array([self.store.get(run, -1) for run in values], np.int64)
+        self.met[numbers[numbers >= 0]] += 1
         new = np.flatnonzero(numbers < 0)
-        if self.store and (len(self.store) + len(new) > REMEMBERED or self.stored_bytes > REMEMBERED_BYTES):
-            self._forget()
-            new = np.arange(len(values))
         first, solid = data[offsets[new]], self.solid(data)[offsets[new + 1] - 1]
         joinable = ((first == 0x20) | (first == 0x0A)) & solid
         ids, counts = self._encode_new([values[i] for i in new.tolist()], joinable)
         new = np.concatenate([new[joinable], new[~joinable]])
         numbers[new] = len(self.store) + np.arange(len(new))
-        for i in new.tolist():
-            self.store[values[i]] = len(self.store)
-            self.stored_bytes += len(values[i])
+        self.store.update((values[i], number) for i, number in zip(new.tolist(), numbers[new].tolist(), strict=True))
+        self.stored_bytes += int((offsets[new + 1] - offsets[new]).sum())
+        self.met = np.concatenate([self.met, np.ones(len(new), np.int32)])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(counts)])
         self.pool = np.concatenate([self.pool, ids])
         return numbers
@@ -282,12 +309,7 @@ class Encoder:
         runs = self.run_starts(data, starts)
         places = np.append(runs, len(data)).astype(np.int32)
         coded = pa.Array.from_buffers(pa.binary(), len(runs), [None, pa.py_buffer(places), pa.py_buffer(data)]).dictionary_encode()
-        number = self._numbers(coded.dictionary)[coded.indices.to_numpy()]
-        begin = self.bounds[number]
-        own = self.bounds[number + 1] - begin
-        # Each run's ids are a stretch of the pool.
-        ahead = np.cumsum(own)
-        flat = self.pool[np.repeat(begin - (ahead - own), own) + np.arange(ahead[-1] if len(ahead) else 0)]
+        flat, own = self._stored(self._numbers(coded.dictionary)[coded.indices.to_numpy()])
         # The text that a run is of is the last to begin there; the ones before it are empty.
         of = np.searchsorted(starts, runs, side="right") - 1
         counts = np.bincount(of, weights=own, minlength=n).astype(np.int64) + 1

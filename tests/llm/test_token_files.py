@@ -116,6 +116,43 @@ def test_any_mixture_of_white_space(library, texts):
     assert lengths.sum() == len(ids)
 
 
+@given(st.lists(st.text(st.sampled_from("aé \n.,'s9<|>endoftx-#")) | st.just("<|endoftext|>"), max_size=12).map("".join))
+@settings(max_examples=150, deadline=None)
+def test_any_mixture_of_letters_and_signs(library, text):
+    texts = [text, f"{text}, <|endoftext|>{text}<|endoftext", "don't, can't. 's, x's-y"]
+    lengths, ids = token_files.encoder(DEFINITION, 2).encode(pa.array([t.encode() for t in texts], pa.binary()))
+    assert ids.tolist() == [i for t in texts for i in library(t)]
+    assert lengths.sum() == len(ids)
+
+
+def test_repeated_runs_outlast_those_met_once(library, monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 60)
+    encoder = token_files.Encoder(DEFINITION, 2)
+    encoded = []
+    plain = encoder._encode_new
+    encoder._encode_new = lambda runs, joinable: encoded.extend(runs) or plain(runs, joinable)
+    often = [f" often{c}{d}" for c in "abcde" for d in "vwxyz"]
+    for i in range(12):
+        # Signs do not make other runs of the same word.
+        text = "".join(f"{word}{',.!#'[i % 4]}" for word in often) + "".join(f" once{c}{'abcdefghijkl'[i]}" for c in "mnopqrst")
+        lengths, ids = encoder.encode(pa.array([text.encode()], pa.binary()))
+        assert ids.tolist() == library(text) and lengths.tolist() == [len(ids)]
+    assert [encoded.count(word.encode()) for word in often] == [1] * len(often)
+    # Runs met once are forgotten.
+    assert len(encoder.store) <= 60 + 8 and b" oncema" not in encoder.store
+    assert encoder.stored_bytes == sum(map(len, encoder.store)) and len(encoder.met) == len(encoder.store)
+
+
+def test_signs_stay_with_letters_where_the_pattern_is_not_used():
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    other = Tokenizer.from_str(DEFINITION)
+    other.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "merged_with_next"), pre_tokenizers.ByteLevel(False, use_regex=False)])
+    texts = ["word, e.g. (this) end.", "a.b.c, x"]
+    _, ids = token_files.Encoder(other.to_str(), 2).encode(pa.array([t.encode() for t in texts], pa.binary()))
+    assert ids.tolist() == [i for t in texts for i in [*other.encode(t, add_special_tokens=False).ids, 2]]
+
+
 def expected(rows, library):
     out, start = [], 0
     for doc_id, text in rows:
