@@ -7,7 +7,10 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from assayflow.plans.marts import candidate_mart, experiment_mart
+from assayflow.plans.facts import fact_results
+from assayflow.plans.marts import EXPERIMENT, candidate_mart, experiment_mart
+from assayflow.plans.profiles import STRICT
+from assayflow.plans.staging import RESULT_COLUMNS, stage_results
 from assayflow.queries.lab import MODELS
 
 CANDIDATES_DDL = (
@@ -116,3 +119,23 @@ def test_experiment_mart_keeps_fanout_and_unmatched(spark, frames):
     }
     on_time = {(r.is_signed and r.is_witnessed, r.days_created_to_signed, r.is_compliance_complete_within_7_days) for r in mart.collect()}
     assert on_time == {(True, 8, False), (True, None, True), (False, 8, False), (False, None, False)}
+
+
+def test_staged_results_are_shuffled_once_for_both_sides_of_the_mart(spark):
+    columns = [spec.split()[0] for spec in RESULT_COLUMNS]
+    numbers = ("endpoint_value", "treatment_concentration", "replicate_number", "measurement_timepoint_hours")
+    kinds = {c: "double" if c in numbers else "boolean" if c == "antibody_humanized" else "string" for c in columns} | {"ingest_date": "date"}
+    row = {c: 1.0 if kinds[c] == "double" else True if kinds[c] == "boolean" else c for c in columns}
+    days = [{**row, "ingest_date": dt.date(2024, 1, d), "experiment_id": f"E{d}"} for d in (1, 2)]
+    raw = spark.createDataFrame([tuple(d[c] for c in columns) for d in days], ", ".join(f"{c} {k}" for c, k in kinds.items()))
+    experiments = spark.createDataFrame([(f"E{d}", None) for d in (1, 2, 3)], "experiment_id string, run_date date")
+    missing = {c: F.lit(None).cast("boolean" if c.startswith("is_") else "string") for c in (*EXPERIMENT, "ingest_date") if c not in ("experiment_id", "run_date", "run_month")}
+    mart = experiment_mart(experiments.withColumns(missing), fact_results(stage_results(raw, STRICT)))
+    assert {(r.experiment_id, r.result_id) for r in mart.collect()} == {("E1", None), ("E2", "result_id"), ("E3", None)}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = mart.select("*")._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    dealt = [line for line in plan if "Exchange hashpartitioning(result_id" in line]
+    assert len(dealt) == 2 and sum("ReusedExchange" in line for line in dealt) == 1
