@@ -1,10 +1,12 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from assayflow.operators.incremental import DuplicateKeyError
-from assayflow.sources.tables import Table
+from assayflow.sources import passes
+from assayflow.sources.tables import DAY, LAYOUTS, Table
 
 
 def rows(df):
@@ -158,3 +160,46 @@ def test_rows_that_are_not_approved_are_not_published(spark, tmp_path):
         assert rows(table.read()) == [("a", "1", D[0])]
     table.merge(facts(spark, ("b", "1", D[1])))
     assert rows(table.read()) == [("a", "1", D[0]), ("b", "1", D[1])]
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def left_behind(spark, write):
+    """Shuffle files that are there after a write and were not before; they are deleted in the background."""
+    before, until = shuffle_files(spark), time.time() + 10
+    write()
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return left
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_writes_leave_no_shuffle_files(spark, tmp_path, layout):
+    table = Table(spark, f"{tmp_path}/t", ["k"], broadcast_limit=0, layout=layout)
+    newest = lambda *days: facts(spark, *((f"k{i}", str(d), d) for i in range(40) for d in days)).groupBy("k").agg(F.max("v").alias("v"), F.max(DAY).alias(DAY))
+    assert left_behind(spark, lambda: table.merge(newest(D[0], D[1]))) == set()
+    assert left_behind(spark, lambda: table.merge(newest(D[2]).filter("k < 'k2'"))) == set()
+    assert left_behind(spark, lambda: table.overwrite(newest(D[0], D[3]))) == set()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_many_rows_are_merged_in_passes(spark, tmp_path, monkeypatch, layout):
+    monkeypatch.setattr(passes, "PASS_BYTES", 1)
+    table = Table(spark, f"{tmp_path}/t", ["k"], buckets=5, broadcast_limit=0, layout=layout)
+    old = [(None if i == 7 else f"k{i}", "old", D[i % 4]) for i in range(60)]
+    new = [(None if i == 9 else f"k{i}", "new", D[4]) for i in range(0, 80, 3)]
+    for i, batch in enumerate((old, new)):
+        facts(spark, *batch).write.parquet(f"{tmp_path}/u{i}")
+        parts = passes.in_passes(spark.read.parquet(f"{tmp_path}/u{i}"), "k")
+        assert len(parts) == passes.MAX_PASSES and len([p for p in parts if p.count()]) > 1
+        table.merge(parts)
+    replaced = {r[0] for r in new} - {None}
+    assert rows(table.read()) == sorted([r for r in old if r[0] not in replaced] + new, key=str)
+    assert table.newest_day() == D[4] and not (tmp_path / "t/staged").exists()
+    with pytest.raises(DuplicateKeyError):
+        table.merge([facts(spark, ("z", "1", D[0])), facts(spark, ("z", "2", D[1]))])
+    assert table.read().filter("k = 'z'").count() == 0
