@@ -9,6 +9,7 @@ from assayflow.operators.quality import ChecksFailed
 from assayflow.plans.checks import declared_checks
 from assayflow.plans.pipeline import Pipeline
 from assayflow.plans.profiles import COMPAT, PROFILES, STRICT
+from assayflow.sources import passes
 from assayflow.streaming.ingest import batch_lineage
 from tests.lab_fixture import AS_OF, D1, D2, RUN, ingest
 
@@ -200,3 +201,26 @@ def test_later_runs_do_not_scan_the_target(spark, tmp_path):
     assert "tables/" not in plan and f"{D1}" in plan
     pipeline.merge_model("dim_experiments", RUN)
     assert pipeline.table("dim_experiments").newest_day() == D2
+
+
+def test_a_build_in_passes_gives_the_same_tables(spark, tmp_path, built, monkeypatch):
+    monkeypatch.setattr(passes, "PASS_BYTES", 1)
+    pipeline = Pipeline(spark, str(tmp_path), built.profile, buckets=2)
+    for day in (D1, D2):
+        ingest(pipeline, tmp_path, day)
+        assert set(pipeline.build(RUN, AS_OF).values()) == {"built"}
+    assert len(passes.in_passes(pipeline.raw("screening_results"), "result_id")) == passes.MAX_PASSES
+    for name in (*pipeline.merged_models, "mart_experiment_summary"):
+        want, got = built.table(name).read(), pipeline.table(name).read()
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+
+
+def test_a_gated_merge_in_passes_counts_all_failures(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(passes, "PASS_BYTES", 1)
+    pipeline = gated(spark, tmp_path)
+    pipeline.merge_model("dim_experiments", RUN)
+    nobody = {"stock_id": F.lit(None).cast("string"), "sample_id": F.lit("?")}
+    rows = pipeline.table("dim_experiments").read().withColumns(nobody).select(*nobody, "ingest_date")
+    with pytest.raises(ChecksFailed) as failed:
+        pipeline._store("dim_stocks", [rows.limit(1), rows.limit(2)], gate=True, merge=True)
+    assert failed.value.failures == {"stock_id not_null": 3}
