@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from assayflow.operators.quality import ChecksFailed
+from assayflow.operators.quality import ChecksFailed, run_checks
 from assayflow.plans.checks import declared_checks
 from assayflow.plans.pipeline import Pipeline
 from assayflow.plans.profiles import COMPAT, PROFILES, STRICT
@@ -203,6 +203,14 @@ def test_later_runs_do_not_scan_the_target(spark, tmp_path):
     assert pipeline.table("dim_experiments").newest_day() == D2
 
 
+def test_checks_are_evaluated_a_table_at_a_time(built):
+    found = built.check()
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    at_once = run_checks(built.layers(), declared_checks())
+    assert found.schema.names == at_once.schema.names
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, at_once.collect()))
+
+
 def test_a_build_in_passes_gives_the_same_tables(spark, tmp_path, built, monkeypatch):
     monkeypatch.setattr(passes, "PASS_BYTES", 1)
     pipeline = Pipeline(spark, str(tmp_path), built.profile, buckets=2)
