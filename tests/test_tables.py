@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from assayflow.operators.incremental import DuplicateKeyError
 from assayflow.sources import passes
+from assayflow.sources.raw import write_raw
 from assayflow.sources.tables import DAY, LAYOUTS, Table
 
 
@@ -183,6 +184,7 @@ def test_writes_leave_no_shuffle_files(spark, tmp_path, layout):
     assert left_behind(spark, lambda: table.merge(newest(D[0], D[1]))) == set()
     assert left_behind(spark, lambda: table.merge(newest(D[2]).filter("k < 'k2'"))) == set()
     assert left_behind(spark, lambda: table.overwrite(newest(D[0], D[3]))) == set()
+    assert left_behind(spark, lambda: write_raw(newest(D[0], D[3]), f"{tmp_path}/raw", "b", spread_by="k")) == set()
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
